@@ -161,7 +161,7 @@ def latest_fetch(spark, sf):
     fetched = copies.select(
         "url", "page_id", F.timestamp_seconds(c("n") * 60 + c("page_id") * 7).alias("fetched_at"))
     return (chain.latest_fetch(fetched, ["url"], "page_id")
-            .select("url", "page_id", F.unix_timestamp("fetched_at").alias("at")))
+            .select("url", "page_id", F.unix_timestamp("fetched_at").alias("fetched_s")))
 
 
 # --- Scalar functions on texts, orders ---------------------------------------
