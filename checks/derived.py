@@ -10,6 +10,7 @@ from tidings.functions import checksum, dates
 from tidings.functions import text as tx
 from tidings.operators import lookup, merge, ordered
 from tidings.session import sized
+from tidings.sources import pages as page_source
 
 RUN_DATE = "2024-12-31"
 DAYS_BACK, STOP_AFTER, MAX_PAGES = 120, 3, 12
@@ -28,6 +29,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def pages(spark: SparkSession, sf: str) -> DataFrame:
+    return page_source.spread(table(spark, sf, "pages"))
+
+
 def lang_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(UIDS, schema.LANG_DIM)
 

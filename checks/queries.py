@@ -35,7 +35,7 @@ def query(fn):
 @query
 def articles(spark, sf):
     """Clean, checksummed article of every page."""
-    rows = extract.extract_detail(d.table(spark, sf, "pages"))
+    rows = extract.extract_detail(d.pages(spark, sf))
     return rows.select(
         "page_id", tx.normalize_url(c("url")).alias("url"), tx.url_host(c("url")).alias("host"),
         "title", "image_url", "text", tx.preview(c("text")).alias("preview"),
@@ -44,24 +44,24 @@ def articles(spark, sf):
 
 @query
 def clean_html(spark, sf):
-    return extract.clean_html(d.table(spark, sf, "pages"), "html", "text").select("page_id", "text")
+    return extract.clean_html(d.pages(spark, sf), "html", "text").select("page_id", "text")
 
 
 @query
 def clean_html_tree(spark, sf):
-    rows = extract.clean_html(d.table(spark, sf, "pages"), "html", "text", tree_only=True)
+    rows = extract.clean_html(d.pages(spark, sf), "html", "text", tree_only=True)
     return rows.select("page_id", "text")
 
 
 @query
 def detail_page(spark, sf):
-    rows = extract.extract_detail(d.table(spark, sf, "pages"))
+    rows = extract.extract_detail(d.pages(spark, sf))
     return rows.select("page_id", "title", "image_url", "text")
 
 
 @query
 def detail_page_pattern(spark, sf):
-    rows = extract.detail_by_pattern(d.table(spark, sf, "pages"))
+    rows = extract.detail_by_pattern(d.pages(spark, sf))
     return rows.select("page_id", "title", "image_url", "text")
 
 
@@ -74,7 +74,7 @@ def strip_blocks(spark, sf):
              .when(kind == 2, "<aside>Новое видео, похожие темы<br><br></aside>")
              .otherwise("<div>Разное Похожие</div>"))
     html = F.concat(block, F.lit("<hr>"), c("html"), block)
-    return d.table(spark, sf, "pages").select("page_id", tx.strip_blocks(html).alias("html"))
+    return d.pages(spark, sf).select("page_id", tx.strip_blocks(html).alias("html"))
 
 
 # Rules for the navigation links of the test pages; some cards fail each check.
@@ -90,7 +90,7 @@ NAV_RULES = {
 
 
 def _nav_listing(spark, sf):
-    pages = d.table(spark, sf, "pages").withColumn("lang", F.lit("ru"))
+    pages = d.pages(spark, sf).withColumn("lang", F.lit("ru"))
     return extract.extract_listing(pages, rl.rules_frame(spark, {"ru": NAV_RULES}))
 
 
@@ -109,7 +109,7 @@ def listing_issues(spark, sf):
 @query
 def listing_cards_pattern(spark, sf):
     """The navigation links again, without a document tree."""
-    pages = d.table(spark, sf, "pages").withColumn("lang", F.lit("ru"))
+    pages = d.pages(spark, sf).withColumn("lang", F.lit("ru"))
     rows = extract.cards_by_pattern(pages, r"(?s)<li>(.*?)</li>", {
         "title": r"(?s)<a[^>]*>(.*?)</a>", "url": r'href="([^"]*)"', "date": r'href="([^"n]*n[^"]*)"'})
     return cd.accepted_cards(cd.judge(rows, c("lang"), d.run_day()), "page_id").drop("dt")

@@ -34,8 +34,9 @@ RUSSIAN, KYRGYZ = ("ru",), ("ky", "kg")
 
 
 def safe_int(c: Column) -> Column:
-    """Integer, or NULL where the text is none."""
-    return c.try_cast("int")
+    """Integer, or NULL where the text is none (checked first: a failing cast
+    costs an exception per row)."""
+    return F.when(F.rlike(c, F.lit(r"^[+-]?\d+$")), c.try_cast("int"))
 
 
 def calendar_day(year: Column, month: Column, day: Column) -> Column:
@@ -75,17 +76,20 @@ def absolute_date(c: Column, run_date: Column, months: tuple[str, ...], strict:
         dotted = r"\d{1,2}\.\d{1,2}(?:\.(?:\d{4})?)?"
     names = F.array(*map(F.lit, months))
 
-    def parts(pattern, separator):
-        return F.split(F.regexp_extract(c, pattern, 0), separator)
+    def number(parts, i):
+        # Digits or nothing, by the patterns above.
+        return F.nullif(F.get(parts, F.lit(i)), F.lit("")).cast("int")
 
-    def build(p, month):
-        year = F.coalesce(safe_int(F.get(p, F.lit(2))), F.year(run_date))
-        return calendar_day(year, month(F.get(p, F.lit(1))), safe_int(F.get(p, F.lit(0))))
+    def build(pattern, separator, month):
+        def from_parts(p):
+            year = F.coalesce(number(p, 2), F.year(run_date))
+            return calendar_day(year, month(p), number(p, 0))
+        return let(F.split(F.regexp_extract(c, pattern, 0), separator), from_parts)
 
-    by_name = let(parts(named, sep), lambda p: build(
-        p, lambda m: F.array_position(names, m).cast("int")))
-    by_number = let(parts(dotted, r"\."), lambda p: build(p, safe_int))
-    return F.when(F.rlike(c, F.lit(named)), by_name).otherwise(by_number)
+    by_name = build(named, sep, lambda p: F.array_position(names, F.get(p, F.lit(1))).cast("int"))
+    by_number = build(dotted, r"\.", lambda p: number(p, 1))
+    return (F.when(F.rlike(c, F.lit(named)), by_name)
+            .when(F.rlike(c, F.lit(dotted)), by_number))
 
 
 def let(value: Column, body) -> Column:

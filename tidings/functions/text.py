@@ -46,7 +46,8 @@ def tidy_space(c: Column, nbsp: bool = True, collapse: bool = True) -> Column:
     if nbsp:
         c = F.replace(c, F.lit("\u00a0"), F.lit(" "))
     if collapse:
-        c = F.regexp_replace(c, ASCII_SPACE + "+", " ")
+        # Single spaces, the usual case, do not match: nothing to rewrite there.
+        c = F.regexp_replace(c, rf"[\t\n\f\r]{ASCII_SPACE}*+| {ASCII_SPACE}++", " ")
     return trim_space(c)
 
 
@@ -89,17 +90,16 @@ def strip_blocks(c: Column, names: tuple[str, ...] = STRIP_BLOCKS) -> Column:
     Possessive and atomic groups: every part can match in one way only, so the
     engine never backtracks over a long body and whole texts are processed.
     """
-    space = ASCII_SPACE
     for name in names:
         lit = r"\Q" + name + r"\E"
+        cut = c
         for tag in ("div", "section"):
-            close = f"</{tag}>"
-            heading = rf"(?:{space}*+<h\d[^>]*+>{lit}</h\d>|{lit})"
-            c = F.regexp_replace(
-                c, rf"(?iu)<{tag}[^>]*+>{heading}[^<]*+(?:(?!{close})<[^>]*+>)*+{close}", "")
-        close = "</aside>"
-        c = F.regexp_replace(
-            c, rf"(?iu)<aside[^>]*+>(?>[^<]*?{lit})[^<]*+(?:(?!{close})<[^>]*+>)*+{close}", "")
+            heading = rf"(?:{ASCII_SPACE}*+<h\d[^>]*+>{lit}</h\d>|{lit})"
+            cut = F.regexp_replace(
+                cut, rf"(?iu)<{tag}[^>]*+>{heading}[^<]*+(?:(?!</{tag}>)<[^>]*+>)*+</{tag}>", "")
+        cut = F.regexp_replace(
+            cut, rf"(?iu)<aside[^>]*+>(?>[^<]*?{lit})[^<]*+(?:(?!</aside>)<[^>]*+>)*+</aside>", "")
+        c = F.when(F.rlike(c, F.lit(f"(?iu){lit}")), cut).otherwise(c)
     return c
 
 
@@ -120,19 +120,21 @@ TAG = r"<[a-zA-Z/!?][^>]*+>"
 
 
 def _element(tag: str) -> str:
-    return rf"<{tag}(?=[\s/>])[^>]*+>.*?</{tag}\s*+>"
+    """An element, without its leading '<'."""
+    return rf"{tag}(?=[\s/>])[^>]*+>.*?</{tag}\s*+>"
 
 
 def drop_raw(html: Column) -> Column:
     """Drop comments, scripts and styles, whichever opens first."""
-    parts = ["<!--.*?-->", *map(_element, RAW_HIDDEN)]
-    return F.regexp_replace(F.regexp_replace(html, r"\r\n?", "\n"), "(?is)" + "|".join(parts), "")
+    html = F.replace(F.replace(html, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    parts = ["!--.*?-->", *map(_element, RAW_HIDDEN)]
+    return F.regexp_replace(html, f"(?is)<(?:{'|'.join(parts)})", "")
 
 
 def flat_text(body: Column) -> Column:
     """Text of flat markup (output of ``drop_raw``), white space untouched."""
     hidden = "|".join(map(_element, HIDDEN))
-    text = F.regexp_replace(F.regexp_replace(body, f"(?is){hidden}", ""), TAG, "")
+    text = F.regexp_replace(F.regexp_replace(body, f"(?is)<(?:{hidden})", ""), TAG, "")
     return reduce(lambda c, r: F.replace(c, F.lit(r[0]), F.lit(r[1])), REFERENCES, text)
 
 
@@ -143,20 +145,24 @@ def is_flat(body: Column) -> Column:
     text or text of their own order, hidden elements that repeat or stay open,
     angle brackets inside tags, and character references outside the list.
     """
-    known = "|".join(ref[1:] for ref, _ in REFERENCES)
+    # All tests start at '<', so only tags cost anything.
     markup = "|".join([
-        r"class\s*=[^>]*(?:ads|advertisement)",
-        r"<(?:noscript|textarea|xmp|iframe|noembed|noframes|template|plaintext|svg|math|select"
-        r"|table|frameset|script|style)[\s/>]",
-        r"<title[^>]*>[^<]*+<(?!/title)",
-        r"=\s*(?:\"[^\"<>]*+[<>]|'[^'<>]*+[<>])",
-        r"<[a-zA-Z/!?][^<>]*+(?:<|\z)",
-        r"<!--",
+        r"(?:noscript|textarea|xmp|iframe|noembed|noframes|template|plaintext|svg|math|select|table"
+        r"|frameset|script|style)[\s/>]",
+        r"title[^>]*>[^<]*+<(?!/title)",
+        r"[a-z][^>]*class\s*=[^>]*(?:ads|advertisement)",
+        r"[a-z][^<>]*=\s*(?:\"[^\"<>]*+[<>]|'[^'<>]*+[<>])",
+        r"[a-z/!?][^<>]*+(?:<|\z)",
+        r"!--",
     ])
-    balanced = F.lit(True)
-    for tag in HIDDEN:
-        opened = F.regexp_count(body, F.lit(rf"(?i)<{tag}(?=[\s/>])"))
-        closed = F.regexp_count(body, F.lit(rf"(?i)</{tag}\s*+>"))
-        balanced = balanced & (opened <= 1) & (opened == closed)
-    references = F.rlike(F.regexp_replace(body, TAG, ""), F.lit(rf"&(?!{known})[#a-zA-Z]"))
-    return ~F.rlike(body, F.lit(f"(?i){markup}")) & balanced & ~references
+    known = "|".join(ref[1:] for ref, _ in REFERENCES)
+    unknown = F.rlike(F.regexp_replace(body, TAG, ""), F.lit(rf"&(?!{known})[#a-zA-Z]"))
+    return ~F.rlike(body, F.lit(f"(?is)<(?:{markup})")) & _closed_once(body) & ~unknown
+
+
+def _closed_once(body: Column) -> Column:
+    """Each hidden element occurs at most once, closed, and not in another one."""
+    tags = F.regexp_extract_all(
+        body, F.lit(rf"(?i)<(/?(?:{'|'.join(HIDDEN)}))(?=[\s/>])"), F.lit(1))
+    one, two = (f"{t},/{t}" for t in HIDDEN)
+    return F.lower(F.array_join(tags, ",")).isin("", one, two, f"{one},{two}", f"{two},{one}")

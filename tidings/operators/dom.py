@@ -136,14 +136,15 @@ class Document(HTMLParser):
     def inner(self, el):
         return "".join(self.out[el.out_at:el.out_end])
 
-    def text_without(self, css):
-        """Text of the document outside the matched elements."""
-        kept, at = [], 0
-        for el in self.select(css):
+    def text_without(self, css, within=None):
+        """Text of the document, or of one element, outside the matched elements."""
+        at, end = (within.text_at, within.text_end) if within else (0, len(self.texts))
+        kept = []
+        for el in self.select(css, within):
             if el.text_at >= at:
                 kept += self.texts[at:el.text_at]
                 at = el.text_end
-        return "".join(kept + self.texts[at:])
+        return "".join(kept + self.texts[at:end])
 
 
 # -- selectors --------------------------------------------------------------

@@ -97,10 +97,15 @@ def extract_listing(pages: DataFrame, rules: DataFrame) -> DataFrame:
             .withColumn("cards", F.col("listing.cards")).drop("listing"))
 
 
-def detail_udf():
-    """html -> title, image and body markup of a detail page."""
+def detail_udf(blocks: tuple[str, ...] = tx.STRIP_BLOCKS):
+    """html -> title, image and body of a detail page.
+
+    The body comes as text; only where a block to be cut may be in it does its
+    markup come instead, for ``strip_blocks``.
+    """
     out_type = to_arrow_type(schema.DETAIL)
-    white = tx.WHITE_SPACE
+    white, hidden = tx.WHITE_SPACE, NOT_TEXT
+    names = [name.lower() for name in blocks]
 
     def attr(doc, css, name):
         el = doc.first(css)
@@ -112,10 +117,13 @@ def detail_udf():
         doc = dom.Document(source)
         h1 = doc.first("h1")
         body = next((el for el in map(doc.first, BODIES) if el is not None), None)
+        markup = doc.inner(body) if body else ""
+        suspect = any(name in markup.lower() for name in names)
         return {
             "title": attr(doc, OG_TITLE, "content") or (doc.text(h1).strip(white) if h1 else ""),
             "image_url": attr(doc, OG_IMAGE, "content") or attr(doc, BODY_IMAGE, "src"),
-            "body_html": doc.inner(body) if body else "",
+            "text": None if suspect else doc.text_without(hidden, body) if body else "",
+            "body_html": markup if suspect else None,
         }
 
     @F.arrow_udf(schema.DETAIL)
@@ -159,11 +167,13 @@ def clean_html(df: DataFrame, html: str, out: str, nbsp: bool = True, collapse:
 
 def extract_detail(pages: DataFrame, blocks: tuple[str, ...] = tx.STRIP_BLOCKS) -> DataFrame:
     """Replace ``html`` by ``title``, ``image_url`` and the clean ``text`` of the body."""
-    rows = (pages.withColumn("detail", detail_udf()("html")).drop("html")
-            .select("*", "detail.title", "detail.image_url",
-                    tx.strip_blocks(F.col("detail.body_html"), blocks).alias("__html"))
-            .drop("detail"))
-    return clean_html(rows, "__html", "text").drop("__html")
+    rows = pages.withColumn("detail", detail_udf(blocks)("html")).drop("html")
+    rows = rows.withColumn("__cut", tx.strip_blocks(F.col("detail.body_html"), blocks))
+    cut = clean_html(rows, "__cut", "__text", tree_only=True)
+    return cut.select(
+        *[c for c in rows.columns if c not in ("detail", "__cut")],
+        "detail.title", "detail.image_url",
+        F.coalesce(tx.tidy_space(F.col("detail.text")), "__text").alias("text"))
 
 
 # --- Simple markup, without a document tree ---------------------------------

@@ -20,3 +20,13 @@ def stream_pages(spark: SparkSession, path: str, layout: T.StructType = schema.P
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
+
+
+def spread(pages: DataFrame) -> DataFrame:
+    """Use all cores where the files give fewer splits than there are cores.
+
+    Parsing costs far more than moving a page. On large tables, which have more
+    splits than cores, this does nothing and adds no shuffle.
+    """
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    return pages.repartition(cores) if pages.rdd.getNumPartitions() < cores else pages
