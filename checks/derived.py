@@ -9,7 +9,7 @@ from tidings import schema
 from tidings.functions import checksum, dates
 from tidings.functions import text as tx
 from tidings.operators import lookup, merge, ordered
-from tidings.session import sized
+from tidings.session import local_table, sized
 from tidings.sources import pages as page_source
 
 RUN_DATE = "2024-12-31"
@@ -34,12 +34,12 @@ def pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lang_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(UIDS, schema.LANG_DIM)
+    return local_table(spark, UIDS, schema.LANG_DIM)
 
 
 def languages(spark: SparkSession, max_pages: int = 1_000_000_000) -> DataFrame:
     rows = [(g, i + 1, f"https://example.org/{g}/1", max_pages) for i, g in enumerate(LANGS)]
-    return spark.createDataFrame(rows, schema.LANGUAGES)
+    return local_table(spark, rows, schema.LANGUAGES)
 
 
 def cards(spark: SparkSession, sf: str) -> DataFrame:
@@ -104,11 +104,11 @@ SITE_UIDS = [(1, "ru"), (2, "ky")]
 def site_languages(spark: SparkSession) -> DataFrame:
     rows = [(SITE_LANGS[g], i + 1, f"https://example.org/{SITE_LANGS[g]}/1", MAX_PAGES)
             for i, g in enumerate(LANGS)]
-    return spark.createDataFrame(rows, schema.LANGUAGES)
+    return local_table(spark, rows, schema.LANGUAGES)
 
 
 def site_lang_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SITE_UIDS, schema.LANG_DIM)
+    return local_table(spark, SITE_UIDS, schema.LANG_DIM)
 
 
 def site_cards(spark: SparkSession, sf: str) -> DataFrame:

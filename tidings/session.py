@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Settings the jobs are written for. Parallelism is left to AQE: it starts from
 # many shuffle partitions and merges the small ones.
@@ -59,6 +63,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def local_table(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType) -> DataFrame:
+    """A small table that is part of the plan: the optimizer sees its size, and
+    reading it starts no Python task (a list of rows would)."""
+    arrow = to_arrow_schema(schema)
+    columns = list(zip(*rows)) or [[] for _ in schema]
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
+
+
 def sized(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     """Evaluate ``df`` once; broadcast it only when it proves to be small.
 
@@ -68,5 +81,5 @@ def sized(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     """
     rows = df.limit(limit + 1).collect()
     if len(rows) <= limit:
-        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+        return F.broadcast(local_table(df.sparkSession, rows, df.schema))
     return cut(df)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings import schema
+from tidings.session import local_table
 
 # Rule fields by their names in rule files.
 FILE_FIELDS = {
@@ -60,7 +61,7 @@ def rule_rows(lang: str, rules: Mapping) -> list[tuple]:
 
 def rules_frame(spark: SparkSession, by_lang: Mapping[str, Mapping]) -> DataFrame:
     rows = [r for lang, rules in by_lang.items() for r in rule_rows(lang, rules)]
-    return spark.createDataFrame(rows, schema.RULES)
+    return local_table(spark, rows, schema.RULES)
 
 
 def read_rules(spark: SparkSession, lang: str, path: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidings import schema
+from tidings.session import local_table
 
 
 class NewsTable:
@@ -37,7 +38,7 @@ class NewsTable:
         """The given or newest snapshot; an empty table before the first."""
         versions = self.versions()
         if not versions:
-            return self.spark.createDataFrame([], schema.NEWS)
+            return local_table(self.spark, [], schema.NEWS)
         at = versions[-1] if version is None else version
         return self.spark.read.schema(schema.NEWS).parquet(self._at(at))
 
