@@ -390,7 +390,7 @@ def page_chain(spark, sf):
 # --- Merge --------------------------------------------------------------------
 
 
-def _batch(spark, sf, dim=None):
+def _batch(spark, sf):
     rows = cd.split_by_mark(d.cards(spark, sf).join(d.marks(spark, sf), "lang"), c("mark"))[0]
     stored = lookup.with_language_uid(d.articles(rows), d.lang_dim(spark))
     return merge.dedupe_batch(stored, ["lang_ord", "page_num", "pos"])
@@ -430,7 +430,7 @@ def news_snapshots(spark, sf):
     """Two snapshots of the Parquet table, the second computed from the first."""
     news = sinks.NewsTable(spark, work_path(spark, "news"))
     news.write(d.known(spark, sf))
-    news.write(merge.merge_plan(news.read(), cut(_batch(spark, sf))))
+    news.merge(_batch(spark, sf))
     return news.read()
 
 
@@ -480,15 +480,15 @@ def news_run(spark, sf):
 @query
 def news_run_stats(spark, sf):
     path = work_path(spark, "stats")
-    sinks.write_run_stats(_run(spark, sf).stats, path)
-    return spark.read.parquet(path)
+    sinks.write_run_stats(_run(spark, sf).stats, path, d.RUN_DATE)
+    return spark.read.parquet(path).drop("run")
 
 
 @query
 def news_run_issues(spark, sf):
     path = work_path(spark, "quarantine")
     issues = _run(spark, sf).issues
-    sinks.write_quarantine(issues, path)
+    sinks.write_quarantine(issues, path, d.RUN_DATE)
     rows = spark.read.schema(issues.schema).parquet(path)
     return rows.groupBy("lang", "page_num", "reason", "stored").agg(
         F.count(F.lit(1)).alias("n"), F.sum("seq").alias("seq_sum"))
@@ -503,7 +503,7 @@ def page_archive(spark, sf):
         "url", lang.alias("lang"), c("page_id").cast("int").alias("page_num"), F.lit(200).alias("status"),
         "html", F.lit(None).cast("map<string,array<string>>").alias("headers"),
         F.lit(None).cast("timestamp").alias("fetched_at"))
-    sinks.write_page_archive(pages, path)
+    sinks.write_page_archive(pages, path, d.RUN_DATE)
     return page_source.read_pages(spark, path).select("url", "lang", "page_num", "status", "html")
 
 
@@ -528,8 +528,8 @@ def stream_upsert(spark, sf):
 
     layout = T.StructType.fromDDL("doc_id long, text string, lang string, source string, n_chars long")
     stream = page_source.stream_pages(spark, sf, layout, pathGlobFilter="documents.parquet")
-    ingest.stream_articles(stream, news, to_articles, ["sequence_num"],
-                           work_path(spark, "stream")).awaitTermination()
+    ingest.ingest(stream, to_articles, news, ["sequence_num"], work_path(spark, "stage"),
+                  work_path(spark, "stream"))
     return news.read()
 
 

@@ -125,10 +125,11 @@ def _element(tag: str) -> str:
 
 
 def drop_raw(html: Column) -> Column:
-    """Drop comments, scripts and styles, whichever opens first."""
+    """Drop comments, scripts and styles, whichever opens first; none of them
+    opens inside a title, which is kept."""
     html = F.replace(F.replace(html, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
     parts = ["!--.*?-->", *map(_element, RAW_HIDDEN)]
-    return F.regexp_replace(html, f"(?is)<(?:{'|'.join(parts)})", "")
+    return F.regexp_replace(html, f"(?is)<(?:{'|'.join(parts)})|({'<' + _element('title')})", "$1")
 
 
 def flat_text(body: Column) -> Column:
@@ -149,7 +150,7 @@ def is_flat(body: Column) -> Column:
     markup = "|".join([
         r"(?:noscript|textarea|xmp|iframe|noembed|noframes|template|plaintext|svg|math|select|table"
         r"|frameset|script|style)[\s/>]",
-        r"title[^>]*>[^<]*+<(?!/title)",
+        r"title[^>]*>[^<]*+(?:<(?!/title)|\z)",
         r"[a-z][^>]*class\s*=[^>]*(?:ads|advertisement)",
         r"[a-z][^<>]*=\s*(?:\"[^\"<>]*+[<>]|'[^'<>]*+[<>])",
         r"[a-z/!?][^<>]*+(?:<|\z)",

@@ -5,20 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.functions.checksum import content_checksum
+from tidings.functions.checksum import checksum_matches, content_checksum
 
 
-def _recomputed():
-    return content_checksum(F.col("sequence_num"), F.col("dt"), F.col("title"), F.col("text"))
+CONTENT = ("sequence_num", "dt", "title", "text")
 
 
 def refresh_checksums(news: DataFrame) -> DataFrame:
     """Every row with the checksum its content has now, and whether it changed."""
-    return (news.withColumn("__now", _recomputed())
+    now = content_checksum(*map(F.col, CONTENT))
+    return (news.withColumn("__now", now)
             .withColumn("changed", ~F.col("check_sum").eqNullSafe(F.col("__now")))
             .withColumn("check_sum", F.col("__now")).drop("__now"))
 
 
 def broken_checksums(news: DataFrame) -> DataFrame:
-    """Rows whose stored checksum does not match their content."""
-    return news.where(~F.col("check_sum").eqNullSafe(_recomputed()))
+    """Rows whose stored checksum is missing or does not match their content."""
+    fine = checksum_matches(F.col("check_sum"), *map(F.col, CONTENT))
+    return news.where(~F.coalesce(fine, F.lit(False)))

@@ -13,11 +13,12 @@ from tidings.functions import checksum, dates
 from tidings.functions import text as tx
 
 
-def reject_reason(title_raw: Column, url: Column, text: Column, title: Column,
+def reject_reason(untitled: Column, unlinked: Column, text: Column, title: Column,
                   date_raw: Column) -> Column:
-    """First failed check in order, NULL for an accepted card."""
-    return (F.when(title_raw == "", "no_title")
-            .when(url == "", "no_url")
+    """First failed check in order, NULL for an accepted card. ``title`` is the
+    cleaned one; whether there was a title at all is judged before cleaning."""
+    return (F.when(untitled, "no_title")
+            .when(unlinked, "no_url")
             .when((text == "") & (title == ""), "no_text_title")
             .when(date_raw == "", "no_date"))
 
@@ -50,10 +51,7 @@ def judge(listing: DataFrame, lang: Column, run_date, strict_dates: bool = False
         )
 
     def check(c):
-        reason = (F.when(c["untitled"], "no_title")
-                  .when(c["unlinked"], "no_url")
-                  .when((c["text"] == "") & (c["title"] == ""), "no_text_title")
-                  .when(c["date_raw"] == "", "no_date"))
+        reason = reject_reason(c["untitled"], c["unlinked"], c["text"], c["title"], c["date_raw"])
         return F.struct(*[c[n].alias(n) for n in
                           ("pos", "title", "url", "thumbnail_url", "date_raw", "no_thumb", "html")],
                         text_or_title(c["text"], c["title"]).alias("text"),
@@ -86,28 +84,35 @@ def page_counts(judged: DataFrame, mark: Column) -> DataFrame:
             .withColumn("old", F.size(F.filter("accepted", lambda c: c["dt"] < mark))))
 
 
+def _rows(judged: DataFrame, keep: tuple[str, ...], cards: Column | str) -> DataFrame:
+    """One row per element. The outer form keeps the optimizer from testing the
+    array for emptiness first, which would compute it twice."""
+    return judged.select(*keep, F.inline_outer(cards)).where(F.col("pos").isNotNull())
+
+
 def accepted_cards(judged: DataFrame, *keep: str) -> DataFrame:
-    return judged.select(*keep, F.inline("accepted")).drop("no_thumb", "html")
+    return _rows(judged, keep, "accepted").drop("no_thumb", "html")
 
 
 def card_issues(judged: DataFrame, *keep: str) -> DataFrame:
-    """Rows for the quarantine: rejected cards, and accepted ones without image
-    (``no_thumb``, a warning: ``stored`` is true)."""
-    fields = ["seq", "pos", "title", "url", "text", "date_raw", "html"]
-    bad = judged.select(*keep, F.inline("rejected")).select(
-        *keep, *fields, "reason", F.lit(False).alias("stored"))
-    # A card that fails after the image check was warned about as well.
-    warned = judged.select(*keep, F.inline(F.filter(F.concat(
-        F.transform("rejected", lambda c: _warnable(c, False)),
-        F.transform("accepted", lambda c: _warnable(c, True)),
-    ), lambda c: c["warn"]))).select(*keep, *fields, F.lit("no_thumb").alias("reason"), "stored")
-    return bad.unionByName(warned)
-
-
-def _warnable(c: Column, stored: bool) -> Column:
-    fields = [c[n].alias(n) for n in ("seq", "pos", "title", "url", "text", "date_raw", "html")]
-    warn = c["no_thumb"] if stored else c["no_thumb"] & c["reason"].isin("no_text_title", "no_date")
-    return F.struct(*fields, warn.alias("warn"), F.lit(stored).alias("stored"))
+    """Rows for the quarantine: rejected cards, and cards without image that got
+    past the link check (``no_thumb``, a warning; ``stored`` tells if the card
+    itself was accepted)."""
+    def issue(c, reason, stored):
+        return F.struct(*[c[n].alias(n) for n in
+                          ("seq", "pos", "title", "url", "text", "date_raw", "html")],
+                        reason.alias("reason"), F.lit(stored).alias("stored"))
+
+    def warnings(cards, stored, warned):
+        return F.transform(F.filter(cards, warned), lambda c: issue(c, F.lit("no_thumb"), stored))
+
+    found = F.concat(
+        F.transform("rejected", lambda c: issue(c, c["reason"], False)),
+        warnings("rejected", False,
+                 lambda c: c["no_thumb"] & c["reason"].isin("no_text_title", "no_date")),
+        warnings("accepted", True, lambda c: c["no_thumb"]),
+    )
+    return _rows(judged, keep, found)
 
 
 def split_by_mark(cards: DataFrame, mark: Column) -> tuple[DataFrame, DataFrame]:

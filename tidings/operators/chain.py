@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tidings.session import SMALL_ROWS, sized
 
+# So many parts of a chain are gathered before they become one table.
+LONG_CHAIN = 64
+
 
 def latest_fetch(pages: DataFrame, keys: list[str], tie: str | None = None) -> DataFrame:
     """Newest row per key by ``fetched_at``.
@@ -35,7 +38,7 @@ def page_chain(links: DataFrame, languages: DataFrame, small: int = SMALL_ROWS)
     table = links.select("lang", "url", "next_link")
     frontier = sized(languages.where("max_pages > 0").select(
         "lang", F.lit(1).alias("page_num"), F.col("base_url").alias("url"), "max_pages"), small)
-    steps = []
+    steps: list[DataFrame] = []
     while not frontier.isEmpty():
         hits = sized(table.join(frontier, ["lang", "url"]), small)
         missing = frontier.join(hits, ["lang", "url"], "left_anti")
@@ -44,9 +47,10 @@ def page_chain(links: DataFrame, languages: DataFrame, small: int = SMALL_ROWS)
             missing.select("lang", "page_num", "url", F.lit("").alias("next_link"),
                            F.lit(False).alias("fetched")),
         ]
+        if len(steps) >= LONG_CHAIN:
+            steps = [sized(reduce(DataFrame.unionByName, steps), small)]
         frontier = sized(hits.where("next_link <> '' and page_num < max_pages").select(
             "lang", (F.col("page_num") + 1).alias("page_num"), F.col("next_link").alias("url"),
             "max_pages"), small)
     return reduce(DataFrame.unionByName, steps) if steps else frontier.select(
         "lang", "page_num", "url", F.lit("").alias("next_link"), F.lit(False).alias("fetched"))
-

@@ -47,6 +47,8 @@ class Document(HTMLParser):
         self.elements, self.texts, self.out, self.open = [], [], [], []
         self.feed(source.replace("\r\n", "\n").replace("\r", "\n"))
         self.close()
+        if self.cdata_elem and self.rawdata:  # raw text left open; some versions keep it back
+            self.handle_data(self.rawdata)
         while self.open:
             self._pop()
 

@@ -48,6 +48,15 @@ def compile_rules(rules: DataFrame) -> dict[str, dict[str, list[tuple[str, str |
     return out
 
 
+def once(returns):
+    """An Arrow function that is evaluated once per row.
+
+    Marked as not deterministic, so that the optimizer neither repeats it where
+    its result is used twice nor copies it into a pushed-down filter.
+    """
+    return lambda fn: F.arrow_udf(fn, returns).asNondeterministic()
+
+
 def listing_udf(compiled: dict):
     """(html, lang) -> next link and raw cards, in document order."""
     out_type = to_arrow_type(schema.LISTING)
@@ -81,7 +90,7 @@ def listing_udf(compiled: dict):
         return {"next_link": first_value(doc, rules["next"])[0],
                 "cards": [card(doc, el, rules) for el in found]}
 
-    @F.arrow_udf(schema.LISTING)
+    @once(schema.LISTING)
     def extract(sources: pa.Array, langs: pa.Array) -> pa.Array:
         rows = [page(s, lang) for s, lang in zip(sources.to_pylist(), langs.to_pylist())]
         return pa.array(rows, type=out_type)
@@ -126,7 +135,7 @@ def detail_udf(blocks: tuple[str, ...] = tx.STRIP_BLOCKS):
             "body_html": markup if suspect else None,
         }
 
-    @F.arrow_udf(schema.DETAIL)
+    @once(schema.DETAIL)
     def extract(sources: pa.Array) -> pa.Array:
         return pa.array([page(s) for s in sources.to_pylist()], type=out_type)
 
@@ -137,7 +146,7 @@ def tree_text_udf():
     """html -> text outside hidden elements, by document tree; NULL stays NULL."""
     hidden = NOT_TEXT
 
-    @F.arrow_udf("string")
+    @once("string")
     def extract(sources: pa.Array) -> pa.Array:
         texts = [None if s is None else dom.Document(s).text_without(hidden)
                  for s in sources.to_pylist()]

@@ -83,3 +83,23 @@ def sized(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     if len(rows) <= limit:
         return F.broadcast(local_table(df.sparkSession, rows, df.schema))
     return cut(df)
+
+
+class folder:
+    """Names below a folder on any storage Spark can reach."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        jvm = spark.sparkContext._jvm
+        self._path = lambda name="": jvm.org.apache.hadoop.fs.Path(f"{root}/{name}" if name else root)
+        self._fs = self._path().getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def names(self) -> list[str]:
+        if not self._fs.exists(self._path()):
+            return []
+        return [s.getPath().getName() for s in self._fs.listStatus(self._path())]
+
+    def has(self, name: str) -> bool:
+        return self._fs.exists(self._path(name))
+
+    def delete(self, name: str) -> None:
+        self._fs.delete(self._path(name), True)

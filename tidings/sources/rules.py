@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings import schema
-from tidings.session import local_table
+from tidings.session import folder, local_table
 
 # Rule fields by their names in rule files.
 FILE_FIELDS = {
@@ -64,14 +64,23 @@ def rules_frame(spark: SparkSession, by_lang: Mapping[str, Mapping]) -> DataFram
     return local_table(spark, rows, schema.RULES)
 
 
-def read_rules(spark: SparkSession, lang: str, path: str) -> DataFrame:
-    """Rules of one language from a YAML file on any storage Spark can read."""
-    import yaml  # optional; only needed for YAML rule files
+def read_rules(spark: SparkSession, files: Mapping[str, str], base: str = "configs") -> DataFrame:
+    """Rules from one YAML file per language, on any storage Spark can read.
 
-    text = spark.read.text(path, wholetext=True).first()
-    if text is None:
-        raise ValueError(f"no rules in {path}")
-    return rules_frame(spark, {lang: yaml.safe_load(text[0]) or {}})
+    A relative path that does not exist is looked up below ``base``.
+    """
+    import yaml  # optional: only YAML rule files need it
+
+    def load(path):
+        is_absolute = path.startswith("/") or "://" in path
+        tries = [path] if is_absolute else [path, f"{base}/{path}"]
+        for at in tries:
+            parent, _, name = at.rpartition("/")
+            if folder(spark, parent or ".").has(name):
+                return yaml.safe_load(spark.read.text(at, wholetext=True).first()[0]) or {}
+        raise FileNotFoundError(f"rule file not found: {path} (tried: {', '.join(tries)})")
+
+    return rules_frame(spark, {lang: load(path) for lang, path in files.items()})
 
 
 def _given(c: Column) -> Column:

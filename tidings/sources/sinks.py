@@ -1,11 +1,12 @@
-"""Sinks: news snapshots, quarantine, page archive, run statistics."""
+"""Sinks: news table, quarantine, page archive, run statistics."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidings import schema
-from tidings.session import local_table
+from tidings.operators import audit, merge
+from tidings.session import cut, folder, local_table
 
 
 class NewsTable:
@@ -14,22 +15,17 @@ class NewsTable:
     Parquet has no row-level merge and a path must not be overwritten while it
     is read, so each merge writes the next snapshot from the current one. A
     snapshot counts once its job committed (``_SUCCESS``); a run that died half
-    way leaves a folder without it, which the next run replaces.
+    way leaves a folder without it, which the next run replaces. There is one
+    writer at a time, as there is one scheduled run at a time.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def versions(self) -> list[int]:
-        base = self._path(self.root)
-        if not self._fs.exists(base):
-            return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(base)]
-        found = [int(n[2:]) for n in names if n.startswith("v=")]
-        return sorted(v for v in found if self._fs.exists(self._path(f"{self._at(v)}/_SUCCESS")))
+        fs = folder(self.spark, self.root)
+        found = [int(name[2:]) for name in fs.names() if name.startswith("v=")]
+        return sorted(v for v in found if fs.has(f"v={v}/_SUCCESS"))
 
     def _at(self, version: int) -> str:
         return f"{self.root}/v={version}"
@@ -49,14 +45,47 @@ class NewsTable:
          .partitionBy("language_uid").parquet(self._at(version)))
         return version
 
+    def merge(self, batch: DataFrame) -> int:
+        """Merge a batch that holds each URL once."""
+        return self.write(merge.merge_plan(self.read(), cut(batch)))
 
-def write_quarantine(issues: DataFrame, path: str) -> None:
-    issues.write.mode("append").partitionBy("reason").parquet(path)
+    def refresh_checksums(self) -> int:
+        """Recompute all checksums; the number of rows that changed."""
+        changed = audit.broken_checksums(self.read()).count()
+        if changed:
+            self.write(audit.refresh_checksums(self.read()))
+        return changed
 
+    def expire(self, keep: int = 2) -> None:
+        """Delete all but the newest snapshots."""
+        fs = folder(self.spark, self.root)
+        for version in self.versions()[:-max(keep, 1)]:
+            fs.delete(f"v={version}")
 
-def write_page_archive(pages: DataFrame, path: str) -> None:
-    pages.write.mode("append").partitionBy("lang").parquet(path)
 
+class CatalogTable:
+    """The news table in a catalog whose tables take row-level changes."""
 
-def write_run_stats(stats: DataFrame, path: str) -> None:
-    stats.write.mode("append").parquet(path)
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name = spark, name
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def merge(self, batch: DataFrame) -> None:
+        merge.merge_into_table(cut(batch), self.name)
+
+
+# The sinks below write one folder per run: repeating a run replaces its rows.
+
+
+def write_quarantine(issues: DataFrame, path: str, run: str) -> None:
+    issues.write.mode("overwrite").partitionBy("reason").parquet(f"{path}/run={run}")
+
+
+def write_page_archive(pages: DataFrame, path: str, run: str) -> None:
+    pages.write.mode("overwrite").partitionBy("lang").parquet(f"{path}/run={run}")
+
+
+def write_run_stats(stats: DataFrame, path: str, run: str) -> None:
+    stats.write.mode("overwrite").parquet(f"{path}/run={run}")

@@ -1,16 +1,21 @@
-"""Incremental runs over a stream of pages."""
+"""Incremental runs over a stream of pages.
+
+A run takes the pages that arrived since the last one (``availableNow``), stages
+their new articles micro-batch by micro-batch and merges them once at its end:
+the table is written once per run, and a URL that occurs in several micro-batches
+ends as in one batch. There is no stop rule here: it needs all pages at once.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidings.operators import lookup, merge
-from tidings.session import cut, sized
-from tidings.sources.sinks import NewsTable
+from tidings.session import folder, sized
 
 
 def frozen_marks(news: DataFrame, languages: DataFrame, lang_dim: DataFrame, run_date,
@@ -28,20 +33,38 @@ def new_and_late(cards: DataFrame, marks: DataFrame) -> tuple[DataFrame, DataFra
             dated.where(F.col("dt") < F.col("mark")).drop("mark"))
 
 
-def stream_articles(stream: DataFrame, table: NewsTable, to_articles: Callable, order: list[str],
-                    checkpoint: str) -> StreamingQuery:
-    """Merge a stream into the table, one snapshot per micro-batch.
+def stage_articles(stream: DataFrame, to_articles: Callable[[DataFrame], DataFrame], stage: str,
+                   checkpoint: str) -> StreamingQuery:
+    """Write the articles of each micro-batch to a folder of its own.
 
-    ``to_articles`` turns a micro-batch into article rows with ``language_uid``
-    and the ``order`` columns. Merging the same batch twice leaves the table as
-    it is, so a batch repeated after a failure does no harm. There is no stop
-    rule here: it needs all pages of a run at once.
+    ``to_articles`` gives rows with ``language_uid`` and the order columns. A
+    micro-batch repeated after a failure replaces its folder.
     """
-    def merge_batch(pages: DataFrame, _batch_id: int) -> None:
-        batch = cut(merge.dedupe_batch(to_articles(pages), order))
-        if not batch.isEmpty():
-            table.write(merge.merge_plan(table.read(), batch))
+    def write(pages: DataFrame, batch_id: int) -> None:
+        to_articles(pages).write.mode("overwrite").parquet(f"{stage}/batch={batch_id}")
 
-    return (stream.writeStream.foreachBatch(merge_batch)
-            .option("checkpointLocation", checkpoint)
+    return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
+
+
+def merge_staged(spark: SparkSession, stage: str, table, order: list[str]) -> int:
+    """Merge everything staged, then drop it; the number of staged batches.
+
+    If the run dies before the drop, the next one merges the same articles
+    again, which leaves the table as it is.
+    """
+    fs = folder(spark, stage)
+    names = [n for n in fs.names() if n.startswith("batch=") and fs.has(f"{n}/_SUCCESS")]
+    if names:
+        staged = spark.read.parquet(*[f"{stage}/{n}" for n in names])
+        table.merge(merge.dedupe_batch(staged, order))
+        for name in names:
+            fs.delete(name)
+    return len(names)
+
+
+def ingest(stream: DataFrame, to_articles: Callable[[DataFrame], DataFrame], table,
+           order: list[str], stage: str, checkpoint: str) -> int:
+    """One incremental run, to its end."""
+    stage_articles(stream, to_articles, stage, checkpoint).awaitTermination()
+    return merge_staged(stream.sparkSession, stage, table, order)
