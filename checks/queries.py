@@ -14,7 +14,7 @@ from tidings.functions import text as tx
 from tidings.operators import audit, chain, extract, lookup, merge, stops
 from tidings.operators import cards as cd
 from tidings.plans.run import Run, run_news
-from tidings.session import cut, sized, work_path
+from tidings.session import cut, sized, work_path, written
 from tidings.sources import pages as page_source
 from tidings.sources import rules as rl
 from tidings.sources import sinks
@@ -384,7 +384,7 @@ def page_chain(spark, sf):
         F.explode(F.array(*map(F.lit, d.LANGS))).alias("lang"), "url",
         F.when(c("page_id") % 7 == 6, "").when(c("page_id") % 11 == 10, "https://gone.example/")
         .otherwise(F.coalesce("next_url", F.lit(""))).alias("next_link"))
-    return chain.page_chain(cut(links), starts)
+    return chain.page_chain(written(links, "links"), starts)
 
 
 # --- Merge --------------------------------------------------------------------

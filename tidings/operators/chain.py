@@ -7,10 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.session import SMALL_ROWS, sized
+from tidings.session import SMALL_ROWS, sized, small_rows
 
-# So many parts of a chain are gathered before they become one table.
+# So many steps are gathered before they become one table.
 LONG_CHAIN = 64
+# So many URLs are looked for by a filter that the scan can use to skip data.
+FILTER_URLS = 1000
 
 
 def latest_fetch(pages: DataFrame, keys: list[str], tie: str | None = None) -> DataFrame:
@@ -29,28 +31,43 @@ def page_chain(links: DataFrame, languages: DataFrame, small: int = SMALL_ROWS)
     """``lang, page_num, url, next_link, fetched`` for every page a run visits.
 
     ``links`` has one row per (lang, url): ``lang, url, next_link``. It should
-    be materialised, as every step reads it once. The frontier holds at most
-    one row per language; while it is small it is a local table, joined by
-    broadcast, otherwise it is checkpointed and joined by shuffle. A chain may
-    loop; ``max_pages`` of its language ends it. The last row of a chain may be
-    a page that is linked but missing (``fetched`` is false).
+    be a written table, as every step reads these columns once. The frontier
+    holds at most one row per language; while it is small it is a local table,
+    joined by broadcast, otherwise it is checkpointed and joined by shuffle. A
+    chain may loop; ``max_pages`` of its language ends it. The last row of a
+    chain may be a page that is linked but missing (``fetched`` is false).
     """
     table = links.select("lang", "url", "next_link")
-    frontier = sized(languages.where("max_pages > 0").select(
-        "lang", F.lit(1).alias("page_num"), F.col("base_url").alias("url"), "max_pages"), small)
-    steps: list[DataFrame] = []
-    while not frontier.isEmpty():
-        hits = sized(table.join(frontier, ["lang", "url"]), small)
-        missing = frontier.join(hits, ["lang", "url"], "left_anti")
-        steps += [
-            hits.select("lang", "page_num", "url", "next_link", F.lit(True).alias("fetched")),
-            missing.select("lang", "page_num", "url", F.lit("").alias("next_link"),
-                           F.lit(False).alias("fetched")),
-        ]
-        if len(steps) >= LONG_CHAIN:
-            steps = [sized(reduce(DataFrame.unionByName, steps), small)]
-        frontier = sized(hits.where("next_link <> '' and page_num < max_pages").select(
+    asked, found = [], []
+    step = languages.where("max_pages > 0").select(
+        "lang", F.lit(1).alias("page_num"), F.col("base_url").alias("url"), "max_pages")
+    while True:
+        frontier = sized(step, small)
+        if frontier.isEmpty():
+            break
+        hits = sized(_narrowed(table, frontier).join(frontier, ["lang", "url"]), small)
+        asked.append(frontier.select("lang", "page_num", "url"))
+        found.append(hits.select("lang", "page_num", "url", "next_link"))
+        if len(found) == LONG_CHAIN:
+            asked, found = [sized(_union(asked), small)], [sized(_union(found), small)]
+        step = hits.where("next_link <> '' and page_num < max_pages").select(
             "lang", (F.col("page_num") + 1).alias("page_num"), F.col("next_link").alias("url"),
-            "max_pages"), small)
-    return reduce(DataFrame.unionByName, steps) if steps else frontier.select(
-        "lang", "page_num", "url", F.lit("").alias("next_link"), F.lit(False).alias("fetched"))
+            "max_pages")
+    if not found:
+        return frontier.select("lang", "page_num", "url", F.lit("").alias("next_link"),
+                               F.lit(False).alias("fetched"))
+    hits = _union(found)
+    missing = _union(asked).join(hits, ["lang", "page_num"], "left_anti")
+    return hits.withColumn("fetched", F.lit(True)).unionByName(
+        missing.select("lang", "page_num", "url", F.lit("").alias("next_link"),
+                       F.lit(False).alias("fetched")))
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _narrowed(table: DataFrame, frontier: DataFrame) -> DataFrame:
+    """Where few URLs are wanted, name them: a filter reaches the scan."""
+    rows = small_rows(frontier.select("url"), FILTER_URLS)
+    return table if rows is None else table.where(F.col("url").isin([r["url"] for r in rows]))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidings.operators import cards as cd
 from tidings.operators import chain, extract, lookup, merge, stops
-from tidings.session import cut, sized
+from tidings.session import cut, sized, written
 
 # Days looked back, all-old pages in a row that end a run.
 DAYS_BACK, STOP_AFTER = 120, 10
@@ -31,11 +31,13 @@ class Run:
 def extract_run(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """Next link and raw cards of every page, newest fetch per (lang, url).
 
-    The markup is dropped before the shuffle. Checkpointed: chain, statistics,
-    quarantine and batch all read it, and parsing is the costly part.
+    The markup is dropped before the shuffle. Written as a table, as chain,
+    statistics, quarantine and batch all read it and parsing is the costly part;
+    sorted by URL, so that the steps of a chain skip most of it.
     """
     listing = extract.extract_listing(pages.select("lang", "url", "html", "fetched_at"), rules)
-    return cut(chain.latest_fetch(listing, ["lang", "url"]).drop("fetched_at"))
+    latest = chain.latest_fetch(listing, ["lang", "url"]).drop("fetched_at")
+    return written(latest.sortWithinPartitions("lang", "url"), "listing")
 
 
 def run_news(pages: DataFrame, rules: DataFrame, languages: DataFrame, lang_dim: DataFrame,

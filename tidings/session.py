@@ -72,6 +72,12 @@ def local_table(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructT
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
 
 
+def small_rows(df: DataFrame, limit: int = SMALL_ROWS) -> list | None:
+    """The rows of ``df`` if there are at most ``limit``, else None."""
+    rows = df.limit(limit + 1).collect()
+    return rows if len(rows) <= limit else None
+
+
 def sized(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     """Evaluate ``df`` once; broadcast it only when it proves to be small.
 
@@ -79,10 +85,16 @@ def sized(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     hint. Beyond that nothing is dropped: the table is checkpointed and joined
     by an ordinary shuffle, where AQE splits hot keys.
     """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) <= limit:
-        return F.broadcast(local_table(df.sparkSession, rows, df.schema))
-    return cut(df)
+    rows = small_rows(df, limit)
+    return cut(df) if rows is None else F.broadcast(local_table(df.sparkSession, rows, df.schema))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Compute once into a Parquet table in the shared folder. Unlike after a
+    checkpoint, later reads touch only the columns and row groups they need."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 class folder:
