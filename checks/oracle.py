@@ -360,6 +360,14 @@ streamed as materialized (
 batch as materialized {deduped('streamed')}"""
 SQL["stream_upsert"] = f"with {KNOWN}, {STREAMED} select {COLUMNS} from ({UPSERT})"
 
+LATEST = ", ".join(f"arg_max({n}, (page_id, pos)) as {n}" for n in ("title", "text", "thumbnail_url", "dt"))
+SQL["stream_pages"] = f"""
+with {NAV},
+dated as (select *, date '{d.RUN_DATE}' - cast(least(page_id // 5, 36500) as int) as dt from numbered where reason is null),
+merged as (select 1 as language_uid, arg_max(seq, (page_id, pos)) as sequence_num, {LATEST}, url
+  from dated where dt >= date '{d.RUN_DATE}' - {d.DAYS_BACK} group by url)
+select *, {content_hash('sequence_num', 'dt', 'title', 'text')} as check_sum from merged"""
+
 # --- Rules --------------------------------------------------------------------
 
 SQL["rule_violations"] = f"""

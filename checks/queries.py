@@ -533,6 +533,29 @@ def stream_upsert(spark, sf):
     return news.read()
 
 
+@query
+def stream_pages(spark, sf):
+    """Pages as a stream: links extracted in each micro-batch, dated by the page,
+    merged into an empty table at the end of the run."""
+    news = sinks.NewsTable(spark, work_path(spark, "news"))
+    rules = rl.rules_frame(spark, {"ru": NAV_RULES})
+    marks = ingest.frozen_marks(news.read(), d.site_languages(spark), d.site_lang_dim(spark), d.RUN_DATE,
+                                d.DAYS_BACK)
+
+    def to_articles(pages: DataFrame) -> DataFrame:
+        listing = extract.extract_listing(pages.withColumn("lang", F.lit("ru")), rules)
+        cards = cd.accepted_cards(cd.judge(listing, c("lang"), d.run_day()), "page_id", "lang")
+        day = F.date_sub(d.run_day(), F.least(F.floor(c("page_id") / 5), F.lit(36500)).cast("int"))
+        new, _ = ingest.new_and_late(cards.withColumn("dt", day), marks)
+        return lookup.with_language_uid(cd.to_articles(new, "page_id", "pos"), d.site_lang_dim(spark))
+
+    layout = T.StructType.fromDDL("page_id long, url string, html string")
+    stream = page_source.stream_pages(spark, sf, layout, pathGlobFilter="pages.parquet")
+    ingest.ingest(stream, to_articles, news, ["page_id", "pos"], work_path(spark, "stage"),
+                  work_path(spark, "stream"))
+    return news.read()
+
+
 @query
 def stream_late_cards(spark, sf):
     """Cards of the stream that only count, because they are before the mark."""

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 65_536
+BLOCK = 16_384
 
 
 def _blocks(order: str, block: int) -> Column:
