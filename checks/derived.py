@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tidings import schema
 from tidings.functions import checksum, dates
 from tidings.functions import text as tx
-from tidings.operators import lookup, merge, ordered
-from tidings.session import local_table, sized
+from tidings.operators import lookup, merge, ordered, stops
+from tidings.session import cut, local_table, sized
 from tidings.sources import pages as page_source
 
 RUN_DATE = "2024-12-31"
@@ -77,18 +77,16 @@ def known(spark: SparkSession, sf: str) -> DataFrame:
         lookup.with_language_uid(articles(rows), lang_dim(spark)), ["lang_ord", "page_num", "pos"])
 
 
-def marks(spark: SparkSession, sf: str) -> DataFrame:
+def marks(spark: SparkSession, news: DataFrame) -> DataFrame:
     return sized(lookup.high_water_marks(
-        known(spark, sf), languages(spark), lang_dim(spark), run_day(), DAYS_BACK))
+        news, languages(spark), lang_dim(spark), run_day(), DAYS_BACK))
 
 
 def page_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Page counts of the cards; the last page of a language has no next link."""
-    from tidings.operators import stops
-
-    counted = stops.count_pages(
-        cards(spark, sf).select("lang", "page_num", "dt").join(marks(spark, sf), "lang"),
-        F.col("mark"))
+    counted = cut(stops.count_pages(
+        cards(spark, sf).select("lang", "page_num", "dt").join(marks(spark, known(spark, sf)), "lang"),
+        F.col("mark")))
     last = sized(counted.groupBy("lang").agg(F.max("page_num").alias("last")))
     return counted.join(last, "lang").select(
         "lang", "page_num", "cards", "old", (F.col("page_num") < F.col("last")).alias("has_next"))

@@ -307,7 +307,7 @@ def unseen_urls(spark, sf):
 
 
 def _split(spark, sf):
-    rows = d.cards(spark, sf).join(d.marks(spark, sf), "lang")
+    rows = d.cards(spark, sf).join(d.marks(spark, d.known(spark, sf)), "lang")
     return cd.split_by_mark(rows, c("mark"))
 
 
@@ -390,48 +390,52 @@ def page_chain(spark, sf):
 # --- Merge --------------------------------------------------------------------
 
 
-def _batch(spark, sf):
-    rows = cd.split_by_mark(d.cards(spark, sf).join(d.marks(spark, sf), "lang"), c("mark"))[0]
+def _batch(spark, sf, news):
+    rows = cd.split_by_mark(d.cards(spark, sf).join(d.marks(spark, news), "lang"), c("mark"))[0]
     stored = lookup.with_language_uid(d.articles(rows), d.lang_dim(spark))
     return merge.dedupe_batch(stored, ["lang_ord", "page_num", "pos"])
 
 
 @query
 def batch_dedupe(spark, sf):
-    return _batch(spark, sf)
+    return _batch(spark, sf, d.known(spark, sf))
 
 
 @query
 def upsert(spark, sf):
     """Merge with the plan its measured size asks for."""
-    return merge.merge_plan(d.known(spark, sf), cut(_batch(spark, sf)))
+    news = cut(d.known(spark, sf))
+    return merge.merge_plan(news, cut(_batch(spark, sf, news)))
 
 
 @query
 def upsert_wide(spark, sf):
     """The same merge, both sides joined by shuffle."""
-    return merge.merge_plan(d.known(spark, sf), _batch(spark, sf), small=False)
+    news = cut(d.known(spark, sf))
+    return merge.merge_plan(news, _batch(spark, sf, news), small=False)
 
 
 @query
 def upsert_small(spark, sf):
-    """The same merge, the batch being known to be small."""
-    batch = cut(_batch(spark, sf))
-    return merge.merge_plan(d.known(spark, sf), batch, small=merge.is_small(batch))
+    """The same merge, by broadcast if the batch measures as small for it."""
+    news = cut(d.known(spark, sf))
+    batch = cut(_batch(spark, sf, news))
+    return merge.merge_plan(news, batch, small=merge.is_small(batch))
 
 
 @query
 def merge_counts(spark, sf):
-    return merge.merge_counts(merge.merge_plan(d.known(spark, sf), cut(_batch(spark, sf))))
+    news = cut(d.known(spark, sf))
+    return merge.merge_counts(merge.merge_plan(news, cut(_batch(spark, sf, news))))
 
 
 @query
 def news_snapshots(spark, sf):
     """Two snapshots of the Parquet table, the second computed from the first."""
-    news = sinks.NewsTable(spark, work_path(spark, "news"))
-    news.write(d.known(spark, sf))
-    news.merge(_batch(spark, sf))
-    return news.read()
+    table = sinks.NewsTable(spark, work_path(spark, "news"))
+    table.write(d.known(spark, sf))
+    table.merge(_batch(spark, sf, table.read()))
+    return table.read()
 
 
 # --- Rules --------------------------------------------------------------------
@@ -560,5 +564,5 @@ def stream_pages(spark, sf):
 def stream_late_cards(spark, sf):
     """Cards of the stream that only count, because they are before the mark."""
     rows = d.cards(spark, sf)
-    _, late = ingest.new_and_late(rows, d.marks(spark, sf))
+    _, late = ingest.new_and_late(rows, d.marks(spark, d.known(spark, sf)))
     return late.groupBy("lang", "page_num").agg(F.count(F.lit(1)).alias("late"))

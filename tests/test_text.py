@@ -110,7 +110,7 @@ PIECES = ["<p>", "</p>", "<div class='ads'>", "<div class=\"x\">", "</div>", "<n
 
 def test_flat_text_is_the_tree_text_wherever_it_is_used(spark):
     rng = random.Random(3)
-    pages = [("".join(rng.choices(PIECES, k=rng.randint(1, 12))),) for _ in range(12000)]
+    pages = [("".join(rng.choices(PIECES, k=rng.randint(1, 12))),) for _ in range(5000)]
     rows = spark.createDataFrame(pages, "html string")
     both = extract.clean_html(rows, "html", "mixed")
     both = extract.clean_html(both, "html", "tree", tree_only=True)

@@ -19,6 +19,15 @@ LANGUAGES = T.StructType([
     T.StructField("max_pages", T.IntegerType()),
 ])
 
+# The language table as configured, before it is checked.
+LANGUAGE_ROWS = T.StructType([
+    T.StructField("lang", T.StringType()),
+    T.StructField("base_url", T.StringType()),
+    T.StructField("selectors_file", T.StringType()),
+    T.StructField("accept_language", T.StringType()),
+    T.StructField("max_pages", T.IntegerType()),
+])
+
 RULES = T.StructType([
     T.StructField("lang", T.StringType()),
     T.StructField("field", T.StringType()),

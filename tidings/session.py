@@ -59,7 +59,9 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 def cut(df: DataFrame) -> DataFrame:
     """Compute once and cut the lineage with a reliable checkpoint."""
-    work_root(df.sparkSession)
+    sc, root = df.sparkSession.sparkContext, work_root(df.sparkSession)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return df.checkpoint()
 
 
