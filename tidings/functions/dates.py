@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -57,7 +58,8 @@ def drop_weekdays(c: Column, words: tuple[str, ...]) -> Column:
 def relative_date(c: Column, run_date: Column, today: tuple, yesterday: tuple) -> Column:
     """Run date or the day before where such a word occurs, else NULL."""
     def has(words):
-        return F.rlike(c, F.lit("|".join(words)))
+        return reduce(Column.__or__, [F.contains(c, F.lit(w)) for w in words])
+
     return F.when(has(today), run_date).when(has(yesterday), F.date_add(run_date, -1))
 
 
@@ -76,20 +78,24 @@ def absolute_date(c: Column, run_date: Column, months: tuple[str, ...], strict:
         dotted = r"\d{1,2}\.\d{1,2}(?:\.(?:\d{4})?)?"
     names = F.array(*map(F.lit, months))
 
-    def number(parts, i):
+    def number(found, pattern):
         # Digits or nothing, by the patterns above.
-        return F.nullif(F.get(parts, F.lit(i)), F.lit("")).cast("int")
+        return F.nullif(F.regexp_extract(found, pattern, 1), F.lit("")).cast("int")
+
+    def build(found, month):
+        year = F.coalesce(number(found, r"(\d{4})$"), F.year(run_date))
+        parts = F.struct(year.alias("y"), month.alias("m"), number(found, r"^(\d+)").alias("d"))
+        return let(parts, lambda p: calendar_day(p["y"], p["m"], p["d"]))
+
+    def by_number(found):
+        return F.when(found != "", build(found, number(found, r"^\d+\.(\d+)")))
 
-    def build(pattern, separator, month):
-        def from_parts(p):
-            year = F.coalesce(number(p, 2), F.year(run_date))
-            return calendar_day(year, month(p), number(p, 0))
-        return let(F.split(F.regexp_extract(c, pattern, 0), separator), from_parts)
+    def by_name(found):
+        month = F.array_position(names, F.regexp_extract(found, "[а-яё]+", 0)).cast("int")
+        return F.when(found != "", build(found, month)).otherwise(
+            let(F.regexp_extract(c, dotted, 0), by_number))
 
-    by_name = build(named, sep, lambda p: F.array_position(names, F.get(p, F.lit(1))).cast("int"))
-    by_number = build(dotted, r"\.", lambda p: number(p, 1))
-    return (F.when(F.rlike(c, F.lit(named)), by_name)
-            .when(F.rlike(c, F.lit(dotted)), by_number))
+    return let(F.regexp_extract(c, named, 0), by_name)
 
 
 def let(value: Column, body) -> Column:
@@ -98,7 +104,7 @@ def let(value: Column, body) -> Column:
 
 
 def _parse(c, run_date, weekdays, today, yesterday, months, strict):
-    return let(trim_space(drop_weekdays(trim_space(c), weekdays)), lambda text: F.coalesce(
+    return let(trim_space(drop_weekdays(c, weekdays)), lambda text: F.coalesce(
         relative_date(text, run_date, today, yesterday),
         absolute_date(text, run_date, months, strict),
     ))
