@@ -63,3 +63,9 @@ def test_search_below_an_element_may_name_its_ancestors():
 
 def test_selectors_are_compiled_once():
     assert compile_css("a > b") is compile_css("a > b")
+
+
+def test_deep_and_broken_pages_end_quickly():
+    assert len(Document("<div>" * 30_000).elements) == 30_000
+    assert len(Document("<b><i>" * 10_000 + "</u>" * 30_000).elements) == 20_000
+    assert texts(Document("<ul>" + "<li>x" * 20_000 + "</ul>y"), "li")[-1] == "x"

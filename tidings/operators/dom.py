@@ -8,6 +8,7 @@ slices of two piece lists.
 
 import html
 import re
+from collections import Counter
 from functools import lru_cache
 from html.parser import HTMLParser
 
@@ -45,6 +46,7 @@ class Document(HTMLParser):
     def __init__(self, source):
         super().__init__(convert_charrefs=True)
         self.elements, self.texts, self.out, self.open = [], [], [], []
+        self.open_tags = Counter()
         self.feed(source.replace("\r\n", "\n").replace("\r", "\n"))
         self.close()
         if self.cdata_elem and self.rawdata:  # raw text left open; some versions keep it back
@@ -55,7 +57,7 @@ class Document(HTMLParser):
     # -- building ---------------------------------------------------------
 
     def handle_starttag(self, tag, attrs):
-        if tag in ("html", "body") and any(e.tag == tag for e in self.open):
+        if tag in ("html", "body") and self.open_tags[tag]:
             return
         self._make_room(tag)
         values = {}
@@ -67,6 +69,7 @@ class Document(HTMLParser):
         self.out.append(f"<{tag}{shown}>")
         el.text_at, el.out_at = len(self.texts), len(self.out)
         self.open.append(el)
+        self.open_tags[tag] += 1
         if tag in VOID:
             self._pop()
         elif tag in TITLE_LIKE:
@@ -75,6 +78,8 @@ class Document(HTMLParser):
     handle_startendtag = handle_starttag
 
     def handle_endtag(self, tag):
+        if not self.open_tags[tag]:
+            return
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i].tag == tag:
                 # A formatting element closed over an open block stays open.
@@ -104,6 +109,8 @@ class Document(HTMLParser):
             self._close_open(CLOSES[tag], BOUNDARY)
 
     def _close_open(self, kinds, boundary):
+        if not any(self.open_tags[kind] for kind in kinds):
+            return
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i].tag in kinds:
                 while len(self.open) > i:
@@ -115,6 +122,7 @@ class Document(HTMLParser):
 
     def _pop(self):
         el = self.open.pop()
+        self.open_tags[el.tag] -= 1
         el.end, el.text_end, el.out_end = len(self.elements), len(self.texts), len(self.out)
         if el.tag not in VOID:
             self.out.append(f"</{el.tag}>")

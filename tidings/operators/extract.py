@@ -127,7 +127,8 @@ def detail_udf(blocks: tuple[str, ...] = tx.STRIP_BLOCKS):
         h1 = doc.first("h1")
         body = next((el for el in map(doc.first, BODIES) if el is not None), None)
         markup = doc.inner(body) if body else ""
-        suspect = any(name in markup.lower() for name in names)
+        lower = markup.lower()
+        suspect = any(name in lower for name in names)
         return {
             "title": attr(doc, OG_TITLE, "content") or (doc.text(h1).strip(white) if h1 else ""),
             "image_url": attr(doc, OG_IMAGE, "content") or attr(doc, BODY_IMAGE, "src"),

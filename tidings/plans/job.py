@@ -1,6 +1,7 @@
 """One scheduled run as a job:
 
-    spark-submit tidings/plans/job.py --config config.yaml --pages <folder> \\
+    zip -qr tidings.zip tidings
+    spark-submit --py-files tidings.zip tidings/plans/job.py --config config.yaml --pages <folder> \\
         --out <folder> --uids ru=1,ky=2 --run-date 2024-12-31
 
 The configuration lists the languages (name, base_url, selectors_file,

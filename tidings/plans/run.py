@@ -35,8 +35,9 @@ def extract_run(pages: DataFrame, rules: DataFrame) -> DataFrame:
     statistics, quarantine and batch all read it and parsing is the costly part;
     sorted by URL, so that the steps of a chain skip most of it.
     """
-    listing = extract.extract_listing(pages.select("lang", "url", "html", "fetched_at"), rules)
-    latest = chain.latest_fetch(listing, ["lang", "url"]).drop("fetched_at")
+    fetched = pages.select("lang", "url", "html", "fetched_at", F.xxhash64("html").alias("tie"))
+    listing = extract.extract_listing(fetched, rules)
+    latest = chain.latest_fetch(listing, ["lang", "url"], "tie").drop("fetched_at", "tie")
     return written(latest.sortWithinPartitions("lang", "url"), "listing")
 
 
