@@ -25,7 +25,8 @@ def tidy(x: str) -> str:
 def decode(x: str) -> str:
     for ref, shown in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&copy;", "chr(169)"),
                        ("&middot;", "chr(183)"), ("&amp;", "'&'")):
-        x = f"replace({x}, '{ref}', {shown})"
+        # These count without the semicolon, too.
+        x = f"regexp_replace({x}, '{ref}?', {shown}, 'g')"
     return x
 
 

@@ -116,6 +116,8 @@ REFERENCES = (
     ("&laquo;", "\u00ab"), ("&raquo;", "\u00bb"), ("&mdash;", "\u2014"), ("&ndash;", "\u2013"),
     ("&hellip;", "\u2026"), ("&amp;", "&"),
 )
+# Those of them that also count without the semicolon.
+LOOSE_REFERENCES = ("&lt", "&gt", "&quot", "&nbsp", "&copy", "&middot", "&laquo", "&raquo", "&amp")
 TAG = r"<[a-zA-Z/!?][^>]*+>"
 
 
@@ -136,7 +138,18 @@ def flat_text(body: Column) -> Column:
     """Text of flat markup (output of ``drop_raw``), white space untouched."""
     hidden = "|".join(map(_element, HIDDEN))
     text = F.regexp_replace(F.regexp_replace(body, f"(?is)<(?:{hidden})", ""), TAG, "")
-    return reduce(lambda c, r: F.replace(c, F.lit(r[0]), F.lit(r[1])), REFERENCES, text)
+    return decode_references(text)
+
+
+def decode_references(text: Column) -> Column:
+    """Decode the listed character references, each text in one order of passes."""
+    def loose(c, ref, shown):
+        name = ref[:-1]
+        return F.regexp_replace(c, f"{name};?" if name in LOOSE_REFERENCES else ref, shown)
+
+    plain = reduce(lambda c, r: F.replace(c, F.lit(r[0]), F.lit(r[1])), REFERENCES, text)
+    unclosed = F.rlike(text, F.lit(rf"(?:{'|'.join(LOOSE_REFERENCES)})(?!;)"))
+    return F.when(unclosed, reduce(lambda c, r: loose(c, *r), REFERENCES, text)).otherwise(plain)
 
 
 def is_flat(body: Column) -> Column:
