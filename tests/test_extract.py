@@ -96,3 +96,17 @@ def test_one_python_step_and_no_shuffle(spark):
     plan = cd.accepted_cards(judged, "lang")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
     assert "Exchange" not in plan
+
+
+@pytest.mark.parametrize("make", [lambda: extract.listing_udf({}), extract.detail_udf, extract.tree_text_udf])
+def test_functions_travel_without_the_package(make):
+    """Workers of a cluster need not have the package installed."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    data = cloudpickle.dumps(make().func)
+    code = "import sys, pickle; sys.path = [p for p in sys.path if p]; pickle.load(sys.stdin.buffer)"
+    done = subprocess.run([sys.executable, "-c", code], input=data, cwd="/", capture_output=True)
+    assert done.returncode == 0, done.stderr.decode()

@@ -9,7 +9,6 @@ slices of two piece lists.
 import html
 import re
 from collections import Counter
-from functools import lru_cache
 from html.parser import HTMLParser
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -164,8 +163,18 @@ SIMPLE = re.compile(rf"\.([\w-]+)|\#([\w-]+)|{ATTR}")
 COMPOUND = re.compile(r"([\w-]+|\*)?((?:\.[\w-]+|#[\w-]+|\[(?:'[^']*'|\"[^\"]*\"|[^\]'\"])*\])*)")
 
 
-@lru_cache(maxsize=1024)
+COMPILED = {}
+
+
 def compile_css(css):
+    """The groups of a selector, compiled once per worker. (A plain dictionary: a
+    cache decorator would tie this module to an installed package.)"""
+    if css not in COMPILED:
+        COMPILED[css] = parse_css(css)
+    return COMPILED[css]
+
+
+def parse_css(css):
     """Comma groups, each a list of (step kind, compound) from right to left.
 
     A selector outside the grammar gives no group and so matches nothing.
