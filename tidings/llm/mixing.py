@@ -3,8 +3,8 @@
 A classifier fitted on the label table gives every document a posterior over
 domains. Nonnegative rates (how often a document is to be used) are then
 fitted so that the expected tokens of each domain, sum of rate * tokens *
-posterior, meet the targets: least squares by projected gradient with
-momentum, every step one aggregate over a table in Spark. Documents of equal
+posterior, meet the targets: least squares of the relative errors by projected
+gradient with momentum, every step one aggregate over a table in Spark. Documents of equal
 posterior get equal rates, so the steps run over one row per distinct
 posterior (rounded to hundredths) that carries its tokens; that grouping loses
 nothing and is bounded by the number of such posteriors, not by the corpus.
@@ -65,22 +65,26 @@ class Classifier:
     def __init__(self, prior: list[float], ratio: np.ndarray):
         self.prior, self.ratio = prior, ratio
 
-    def posterior(self, slots: Column) -> Column:
-        """Hundredths per domain, adding up to 100."""
-        n = F.size(slots)
-        scores = [F.lit(self.prior[0])]
-        for k in range(1, len(DOMAINS)):
+    def add_posterior(self, df: DataFrame, slots: str) -> DataFrame:
+        """``df`` with hundredths per domain, adding up to 100, in _llm_p. Each
+        step is bound to a column, so that no text is scored twice."""
+        later = range(1, len(DOMAINS))
+        sums = {}
+        for k in later:
             # Thousandths as text: a short literal that the optimizer folds once.
             table = F.split(F.lit(",".join(str(int(round(x * 1000))) for x in self.ratio[k])), ",").cast("array<int>")
-            total = F.aggregate(slots, F.lit(0).cast("long"), _adder(table))
-            scores.append(total / 1000 / (1 + n / TEMPER) + self.prior[k])
-        top = F.greatest(*scores)
-        weights = F.array(*[F.exp(s - top) for s in scores])
-        share = F.transform(weights, lambda w: F.floor(
-            w / F.aggregate(weights, F.lit(0.0), lambda a, b: a + b) * GRID + 0.5).cast("int"))
+            sums[f"_llm_s{k}"] = F.aggregate(slots, F.lit(0).cast("long"), _adder(table))
+        tempered = 1000 * (1 + F.size(slots) / TEMPER)
+        scores = [F.lit(float(self.prior[0])), *[F.col(f"_llm_s{k}") / tempered + float(self.prior[k]) for k in later]]
+        out = df.withColumns(sums).withColumns({f"_llm_z{k}": z for k, z in enumerate(scores)})
+        names = [f"_llm_z{k}" for k in range(len(DOMAINS))]
+        out = out.withColumn("_llm_top", F.greatest(*names))
+        out = out.withColumns({z: F.exp(F.col(z) - F.col("_llm_top")) for z in names})
+        out = out.withColumn("_llm_top", sum((F.col(z) for z in names[1:]), F.col(names[0])))
+        out = out.withColumns({z: F.floor(F.col(z) / F.col("_llm_top") * GRID + 0.5).cast("int") for z in names[1:]})
         # Rounding is settled in the first domain.
-        rest = F.aggregate(F.slice(share, 2, len(DOMAINS) - 1), F.lit(0), lambda a, b: a + b)
-        return F.concat(F.array(F.lit(GRID) - rest), F.slice(share, 2, len(DOMAINS) - 1))
+        rest = sum((F.col(z) for z in names[2:]), F.col(names[1]))
+        return out.withColumn(_P, F.array(GRID - rest, *names[1:])).drop("_llm_top", *sums, *names)
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS,
@@ -107,12 +111,11 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS,
 
 def with_posteriors(docs: DataFrame, model: Classifier, text_col: str = "text") -> DataFrame:
     """``docs`` with their tokens (words) and posterior in hidden columns."""
-    slotted = docs.withColumn("_llm_slots", words(text_col))
-    return (slotted.withColumns({"_llm_tokens": F.size("_llm_slots").cast("long"), _P: model.posterior(F.col("_llm_slots"))})
-            .drop("_llm_slots"))
+    slotted = docs.withColumn("_llm_slots", words(text_col)).withColumn("_llm_tokens", F.size("_llm_slots").cast("long"))
+    return model.add_posterior(slotted, "_llm_slots").drop("_llm_slots")
 
 
-def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, steps: int = 80, tolerance: float = 1e-5) -> DataFrame:
+def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, steps: int = 60, tolerance: float = 1e-5) -> DataFrame:
     """(_llm_p, rate) for every distinct posterior of ``members``
     (_llm_p, _llm_tokens). All rates start at one; the tokens' total is kept."""
     k = range(len(DOMAINS))
@@ -126,7 +129,10 @@ def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, steps: in
         return state.select(_P, F.col("r").alias("rate"))
     weight = np.array([targets[d] for d in DOMAINS])
     want = weight / weight.sum()
-    curve = np.linalg.eigvalsh(np.array(moments[1:], dtype=float).reshape(len(DOMAINS), -1) / tokens)
+    # Errors count relative to a domain's share of the tokens at the start.
+    second = np.array(moments[1:], dtype=float).reshape(len(DOMAINS), -1) / tokens
+    share = np.maximum(second.sum(axis=1), 1e-6)
+    curve = np.linalg.eigvalsh(second / np.sqrt(np.outer(share, share)))
     step, low = 1 / curve[-1], max(curve[0], curve[-1] * 1e-3)
     ratio = sqrt(low / curve[-1])
     momentum = (1 - ratio) / (1 + ratio)
@@ -136,7 +142,7 @@ def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, steps: in
         if abs(off[1]).max() < tolerance:
             break
         moved = F.col("y")
-        for x, g in zip(p, off[0]):
+        for x, g in zip(p, off[0] / share):
             moved = moved - x * float(step * g)
         state = (state.withColumn("next", F.greatest(F.lit(0.0), moved))
                  .select(_P, "n", F.col("next").alias("r"), (F.col("next") + (F.col("next") - F.col("r")) * momentum).alias("y")))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm import exact_dedup, language_id, mixing, near_dedup, packing
+from tidings.llm import exact_dedup, language_id, mixing, near_dedup, neighbours, packing, quality, url_filter, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -27,16 +27,43 @@ def op2_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.decisions(_table(spark, sf, "documents"), width=3, percent=85)
 
 
+def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """All pages written as archives and read back."""
+    return warc.round_trip(_table(spark, sf, "pages"))
+
+
+def op4_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """The five nearest of every fiftieth vector among all."""
+    return neighbours.search(_table(spark, sf, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op6_exact(spark: SparkSession, sf: str) -> DataFrame:
     """Groups of equal texts."""
     return exact_dedup.decisions(_table(spark, sf, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality of all documents, learnt from four fifths of the labels."""
+    docs = _table(spark, sf, "documents")
+    model = quality.fit(docs.where(~quality.held_out()), _table(spark, sf, "labels"))
+    return quality.scores(docs, model)
+
+
 def op8_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Token pieces of all documents in sequences of 2,048."""
     return packing.pack(packing.pieces(_table(spark, sf, "documents"), TOKENIZER))
 
 
+RULES = [url_filter.rule_of("org/", "allow"), url_filter.rule_of("example.org/es/", "block"),
+         url_filter.rule_of("example.org/en/1", "block"), url_filter.rule_of("com/fr/", "allow"),
+         url_filter.rule_of("com/de/", "block")]
+
+
+def op9_urls(spark: SparkSession, sf: str) -> DataFrame:
+    """Verdicts on all pages' urls."""
+    return url_filter.judge(_table(spark, sf, "pages"), url_filter.rule_table(spark, RULES))
+
+
 def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     """Language of all documents, learnt from two thirds of them."""
     docs = _table(spark, sf, "documents")
@@ -47,12 +74,24 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_minhash": op2_minhash,
+    "op3_warc": op3_warc,
+    "op4_neighbours": op4_neighbours,
     "op6_exact": op6_exact,
+    "op7_quality": op7_quality,
     "op8_packing": op8_packing,
+    "op9_urls": op9_urls,
     "op10_language": op10_language,
 }
 
 SQL = {
+    "op3_warc": """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
+w AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to, true AS intact
+FROM w""",
     "op6_exact": """
 WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
