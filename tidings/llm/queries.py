@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm import exact_dedup, language_id, mixing, near_dedup, neighbours, packing, quality, url_filter, warc
+from tidings.llm import exact_dedup, language_id, mixing, near_dedup, neighbours, packing, quality, surrogates, url_filter, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -37,6 +37,15 @@ def op4_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.search(_table(spark, sf, "embeddings"), F.col("id") % 50 == 0)
 
 
+# For the registered query only; a real run takes its key from a secret store.
+KEY = b"key of the registered query"
+
+
+def op5_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents with surrogates for personal data."""
+    return surrogates.pseudonymise(_table(spark, sf, "documents"), KEY)
+
+
 def op6_exact(spark: SparkSession, sf: str) -> DataFrame:
     """Groups of equal texts."""
     return exact_dedup.decisions(_table(spark, sf, "documents"))
@@ -76,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
     "op3_warc": op3_warc,
     "op4_neighbours": op4_neighbours,
+    "op5_surrogates": op5_surrogates,
     "op6_exact": op6_exact,
     "op7_quality": op7_quality,
     "op8_packing": op8_packing,
