@@ -9,11 +9,12 @@ rounds over the set instead of one hash per coordinate, and the estimate
 concentrates at least as well as independent minima.
 
 Documents with equal sets are one class, so groups of copies take no part in
-banding. Members of a band's bucket are linked to the bucket's smallest class
-and verified on full sets; where a bucket still holds several components, the
-pairs between them that have not been tried are verified too. So every pair
-of a bucket is either verified, in one component, or too unequal in size to
-be similar, and no pairs are formed inside a component.
+banding. Members of a band's bucket are tried with the bucket's smallest and
+largest class, on full sets. Where a bucket still holds several components,
+its classes are joined on prefixes (similar sets share one of their rarest
+shingles) and what that finds between components is verified. So of every pair
+in a bucket it is known that the two are similar, in one component, or not
+similar, though the pairs of a large group are never formed.
 With 24 bands of 4 a pair at a similarity of 0.85 misses all bands with a
 probability of 2e-8.
 
@@ -31,7 +32,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.llm.common import U64, digest_of, id_of, keep_rows, key_of, mix, slices, text_of
@@ -150,6 +151,25 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "b").join(right, "a").where(both * 100 >= union * percent).select("a", "b")
 
 
+def _prefix_pairs(left: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different labels that can be similar, from (class, n,
+    label, set): similar sets share one of their rarest shingles, so many as
+    may be missing plus one. Shingles found under one label only are left out
+    before the join, so pairs inside a component are never formed."""
+    words = written(left.select("class", "n", "label", F.explode("set").alias("w")), "words")
+    count = words.groupBy("w").agg(F.count("*").alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    order = F.row_number().over(Window.partitionBy("class").orderBy("df", "w"))
+    need = F.expr(f"n - (n * {percent} + 99) div 100 + 1")
+    prefix = (words.join(count, "w").withColumn("at", order).where(F.col("at") <= need).where("lo <> hi")
+              .select("w", "class", "n", "label", "at"))
+    prefix = written(prefix, "prefixes")
+    a = prefix.select("w", F.col("class").alias("a"), F.col("n").alias("m"), F.col("label").alias("la"), F.col("at").alias("i"))
+    b = prefix.select("w", F.col("class").alias("b"), "n", F.col("label").alias("lb"), F.col("at").alias("j"))
+    # If this is the first shingle they share, the rest must still suffice.
+    near = (F.least(F.col("m") - F.col("i"), F.col("n") - F.col("j")) + 1) * (100 + percent) >= (F.col("m") + F.col("n")) * percent
+    return a.join(b, (a["w"] == b["w"]) & (F.col("la") < F.col("lb")) & near).select("a", "b").distinct()
+
+
 def classes_of(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, digest, n, component) for every row; ``component`` is the smallest
@@ -159,11 +179,12 @@ def classes_of(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
         F.min(F.struct("key", "digest", "n", "bands")).alias("g")).select("class", "g.*"), "classes")
     placed = groups.select("class", "n", F.explode("bands").alias("h"))
     shared = placed.groupBy("h").agg(F.min("class").alias("rep"), F.max("class").alias("last")).where("rep <> last")
-    members = written(placed.join(shared.select("h", "rep"), "h"), "buckets")
+    members = written(placed.join(shared, "h"), "buckets")
 
     size = members.select("class", "n").distinct()
     alike = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
-    star = (members.where("class <> rep").select(F.col("rep").alias("a"), F.col("class").alias("b"), "n").distinct()
+    ends = F.explode(F.array("rep", "last")).alias("a")
+    star = (members.select(ends, F.col("class").alias("b"), "n").where("a <> b").distinct()
             .join(size.select(F.col("class").alias("a"), F.col("n").alias("m")), "a")
             .where(alike(F.col("n"), F.col("m"))).select("a", "b"))
     needed = groups.select("class", "key", "digest").join(size.select("class"), "class", "left_semi")
@@ -173,16 +194,12 @@ def classes_of(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
     links = written(_verified(star, sets, percent), "links")
     label = components(links, "a", "b")
 
-    # What is left: buckets that hold more than one component.
+    # What is left: classes in buckets that hold more than one component.
     labelled = written(members.join(label.withColumnRenamed("node", "class"), "class", "left")
-                       .select("h", "class", "n", "rep", F.coalesce("label", "class").alias("label")), "labelled")
+                       .select("h", "class", "n", F.coalesce("label", "class").alias("label")), "labelled")
     mixed = labelled.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h")
-    rest = labelled.join(mixed, "h", "left_semi")
-    one = rest.select("h", F.col("class").alias("a"), F.col("n").alias("m"), F.col("label").alias("la"))
-    two = rest.where("class <> rep").select("h", F.col("class").alias("b"), "n", F.col("label").alias("lb"), "rep")
-    cross = (one.join(two, (one["h"] == two["h"]) & (F.col("la") < F.col("lb")) & alike(F.col("n"), F.col("m"))
-                      & (F.col("a") != F.col("rep")))
-             .select("a", "b").distinct())
+    rest = labelled.join(mixed, "h", "left_semi").select("class", "n", "label").distinct()
+    cross = _prefix_pairs(sets.join(rest, "class"), percent)
     more = written(_verified(cross, sets, percent), "links")
     final = components(links.unionByName(more), "a", "b")
 
