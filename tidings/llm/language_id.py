@@ -54,11 +54,10 @@ def letters() -> np.ndarray:
 def codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of the texts, 0 for runs of anything but letters, each text
     set off by 0; and the number of code points kept per text."""
-    parts = ["" if t is None else t.lower() for t in texts]
+    parts = ["\n\n" if t is None else f"\n{t.lower()}\n" for t in texts]
     # A surrogate cannot occur in a text from Spark.
-    flat = np.frombuffer("\n".join(["", *parts, ""]).encode("utf-32-le"), dtype=np.uint32)
-    owner = np.repeat(np.arange(len(parts)), [len(p) + 1 for p in parts])
-    flat = flat[:len(owner)]
+    flat = np.frombuffer("".join(parts).encode("utf-32-le"), dtype=np.uint32)
+    owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     is_letter = letters()[flat]
     keep = is_letter.copy()
     keep[1:] |= is_letter[:-1]

@@ -116,7 +116,7 @@ def with_posteriors(docs: DataFrame, model: Classifier, text_col: str = "text")
 
 
 def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, steps: int = 60, tolerance: float = 1e-5) -> DataFrame:
-    """(_llm_p, rate) for every distinct posterior of ``members``
+    """(_llm_p, _llm_rate) for every distinct posterior of ``members``
     (_llm_p, _llm_tokens). All rates start at one; the tokens' total is kept."""
     k = range(len(DOMAINS))
     grouped = members.groupBy(_P).agg(F.sum("_llm_tokens").cast("double").alias("n"))
@@ -126,7 +126,7 @@ def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, steps: in
     moments = state.agg(F.sum(n), *[F.sum(n * p[i] * p[j]) for i in k for j in k]).first()
     tokens = moments[0] or 0.0
     if not tokens:
-        return state.select(_P, F.col("r").alias("rate"))
+        return state.select(_P, F.col("r").alias("_llm_rate"))
     weight = np.array([targets[d] for d in DOMAINS])
     want = weight / weight.sum()
     # Errors count relative to a domain's share of the tokens at the start.
@@ -148,7 +148,7 @@ def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, steps: in
                  .select(_P, "n", F.col("next").alias("r"), (F.col("next") + (F.col("next") - F.col("r")) * momentum).alias("y")))
         if i % 6 == 5:
             state = written(state, "rates")
-    return written(state.select(_P, F.col("r").alias("rate")), "rates")
+    return written(state.select(_P, F.col("r").alias("_llm_rate")), "rates")
 
 
 def _rated(members: DataFrame, rates: DataFrame) -> DataFrame:
@@ -166,14 +166,14 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
     out = _rated(members, fit_rates(members, targets))
     return out.select("doc_id", F.col("_llm_tokens").alias("tokens"),
                       *[(F.get(_P, F.lit(i)) / GRID).alias(f"p_{d}") for i, d in enumerate(DOMAINS)],
-                      "rate", copies("doc_id").alias("copies"))
+                      F.col("_llm_rate").alias("rate"), copies("doc_id").alias("copies"))
 
 
 def copies(id_col: str) -> Column:
     """Whole uses of a document: the rate, rounded by a hash of the id so that
     the expected number of uses is the rate."""
     draw = F.pmod(F.xxhash64(F.lit("copies"), id_col), F.lit(1_000_000)) / 1_000_000
-    return F.floor(F.col("rate") + draw).cast("int")
+    return F.floor(F.col("_llm_rate") + draw).cast("int")
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS,
