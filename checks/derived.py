@@ -46,7 +46,7 @@ def cards(spark: SparkSession, sf: str) -> DataFrame:
     """Listing cards made of documents: ten to a page, newest first."""
     docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
     rn = F.col("rn") - 1
-    day = F.date_sub(run_day(), F.least(F.floor(F.col("doc_id") / 5), F.lit(36500)).cast("int"))
+    day = F.date_sub(run_day(), (F.floor(F.col("doc_id") / 5) % 36500).cast("int"))
     return ordered.row_number(docs, ["lang"], "doc_id", "rn").select(
         "doc_id", "lang",
         F.array_position(F.array(*map(F.lit, LANGS)), F.col("lang")).cast("int").alias("lang_ord"),

@@ -222,7 +222,7 @@ cards as (
     cast(rn // 10 + 1 as int) as page_num, cast(rn % 10 + 1 as int) as pos, cast(rn % 10 * 2 + 1 as int) as seq,
     'https://example.org/a/' || (doc_id // 3) as url, {trim("split_part(text, '.', 1)")} as title, text,
     '' as thumbnail_url,
-    case when doc_id % 97 <> 0 then date '{d.RUN_DATE}' - cast(least(doc_id // 5, 36500) as int) end as dt
+    case when doc_id % 97 <> 0 then date '{d.RUN_DATE}' - cast((doc_id // 5) % 36500 as int) end as dt
   from placed),
 articles as materialized (
   select lang, lang_ord, page_num, pos, dt, title, text, url, thumbnail_url, seq as sequence_num,
@@ -364,7 +364,7 @@ SQL["stream_upsert"] = f"with {KNOWN}, {STREAMED} select {COLUMNS} from ({UPSERT
 LATEST = ", ".join(f"arg_max({n}, (page_id, pos)) as {n}" for n in ("title", "text", "thumbnail_url", "dt"))
 SQL["stream_pages"] = f"""
 with {NAV},
-dated as (select *, date '{d.RUN_DATE}' - cast(least(page_id // 5, 36500) as int) as dt from numbered where reason is null),
+dated as (select *, date '{d.RUN_DATE}' - cast((page_id // 5) % 36500 as int) as dt from numbered where reason is null),
 merged as (select 1 as language_uid, arg_max(seq, (page_id, pos)) as sequence_num, {LATEST}, url
   from dated where dt >= date '{d.RUN_DATE}' - {d.DAYS_BACK} group by url)
 select *, {content_hash('sequence_num', 'dt', 'title', 'text')} as check_sum from merged"""

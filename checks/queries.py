@@ -520,7 +520,7 @@ def stream_upsert(spark, sf):
     marks = ingest.frozen_marks(news.read(), d.languages(spark), d.lang_dim(spark), d.RUN_DATE, d.DAYS_BACK)
 
     def to_articles(docs: DataFrame) -> DataFrame:
-        day = F.date_sub(d.run_day(), F.least(F.floor(c("doc_id") / 5), F.lit(36500)).cast("int"))
+        day = F.date_sub(d.run_day(), (F.floor(c("doc_id") / 5) % 36500).cast("int"))
         rows = docs.select(
             "lang", c("doc_id").alias("seq"), F.when(c("doc_id") % 97 != 0, day).alias("dt"),
             tx.trim_space(F.substring_index("text", ".", 1)).alias("title"), "text",
@@ -549,7 +549,7 @@ def stream_pages(spark, sf):
     def to_articles(pages: DataFrame) -> DataFrame:
         listing = extract.extract_listing(pages.withColumn("lang", F.lit("ru")), rules)
         cards = cd.accepted_cards(cd.judge(listing, c("lang"), d.run_day()), "page_id", "lang")
-        day = F.date_sub(d.run_day(), F.least(F.floor(c("page_id") / 5), F.lit(36500)).cast("int"))
+        day = F.date_sub(d.run_day(), (F.floor(c("page_id") / 5) % 36500).cast("int"))
         new, _ = ingest.new_and_late(cards.withColumn("dt", day), marks)
         return lookup.with_language_uid(cd.to_articles(new, "page_id", "pos"), d.site_lang_dim(spark))
 

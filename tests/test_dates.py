@@ -24,6 +24,12 @@ def test_russian(apply):
     assert apply(lambda c: dates.parse_russian(c, RUN), list(given)) == list(given.values())
 
 
+def test_a_number_before_the_date(apply):
+    given = ["10.05 18.10.2024", "12.30, 18.10.2024", "10 ч, 18 октября 2024"]
+    for strict in (True, False):
+        assert apply(lambda c: dates.parse_russian(c, RUN, strict), given) == [day(2024, 10, 18)] * 3
+
+
 def test_strict_wants_the_separator(apply):
     given = {"18 октября": None, "18 октября 2024": day(2024, 10, 18), "18 октября г": day(2024, 10, 18),
              "18.10": None, "18.10.": day(2024, 10, 18), "сегодня": day(2024, 12, 31)}

@@ -21,14 +21,14 @@ def test_job(spark, tmp_path):
     fetched(spark, site()).write.parquet(str(tmp_path / "in"))
     out = str(tmp_path / "out")
     read = job.read_config(spark, str(tmp_path / "config.yaml"))
-    for run_date in ("2024-12-31", "2024-12-31"):
-        stats = job.run_job(spark, read, str(tmp_path / "in"), out, {"ru": 1, "ky": 2}, run_date, str(tmp_path), True)
+    for run_id in ("one", "one", "two", None):
+        stats = job.run_job(spark, read, str(tmp_path / "in"), out, {"ru": 1, "ky": 2}, "2024-12-31", str(tmp_path), True, run_id)
         assert {r.lang: r.stopped_reason for r in stats.collect()} == {"ru": "old_streak", "kg": "max_pages"}
     assert sinks.NewsTable(spark, f"{out}/news").read().count() == 4
-    # The repeated run replaced its own quarantine, statistics and archive.
-    assert spark.read.parquet(f"{out}/quarantine").count() == 2
-    assert spark.read.parquet(f"{out}/stats").count() == 2
-    assert spark.read.parquet(f"{out}/pages").count() == len(site())
+    # The repeated run replaced its own quarantine, statistics and archive; other runs of the day kept theirs.
+    assert spark.read.parquet(f"{out}/quarantine").count() == 2 * 3
+    assert spark.read.parquet(f"{out}/stats").count() == 2 * 3
+    assert spark.read.parquet(f"{out}/pages").count() == len(site()) * 3
 
 
 def test_broken_configurations_are_refused(spark, tmp_path):

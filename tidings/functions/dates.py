@@ -66,16 +66,13 @@ def relative_date(c: Column, run_date: Column, today: tuple, yesterday: tuple) -
 def absolute_date(c: Column, run_date: Column, months: tuple[str, ...], strict: bool) -> Column:
     """``d month [yyyy]`` or ``d.m[.yyyy]``; a missing year is the run's year.
 
-    A text that has the first form is never tried as the second. ``strict``
-    asks for the separator after the month even when no year follows.
+    A text that has the first form is never tried as the second. The forms
+    with a separator after the month come first; without ``strict`` a text that
+    has neither of them is tried without that separator.
     """
     sep = ASCII_SPACE + "+"
-    if strict:
-        named = rf"\d{{1,2}}{sep}[а-яё]+{sep}(?:\d{{4}})?"
-        dotted = r"\d{1,2}\.\d{1,2}\.(?:\d{4})?"
-    else:
-        named = rf"\d{{1,2}}{sep}[а-яё]+(?:{sep}\d{{4}})?"
-        dotted = r"\d{1,2}\.\d{1,2}(?:\.(?:\d{4})?)?"
+    named, dotted = rf"\d{{1,2}}{sep}[а-яё]+{sep}(?:\d{{4}})?", r"\d{1,2}\.\d{1,2}\.(?:\d{4})?"
+    loose_named, loose_dotted = rf"\d{{1,2}}{sep}[а-яё]+", r"\d{1,2}\.\d{1,2}"
     names = F.array(*map(F.lit, months))
 
     def number(found, pattern):
@@ -88,14 +85,19 @@ def absolute_date(c: Column, run_date: Column, months: tuple[str, ...], strict:
         return let(parts, lambda p: calendar_day(p["y"], p["m"], p["d"]))
 
     def by_number(found):
-        return F.when(found != "", build(found, number(found, r"^\d+\.(\d+)")))
+        return build(found, number(found, r"^\d+\.(\d+)"))
 
     def by_name(found):
-        month = F.array_position(names, F.regexp_extract(found, "[а-яё]+", 0)).cast("int")
-        return F.when(found != "", build(found, month)).otherwise(
-            let(F.regexp_extract(c, dotted, 0), by_number))
+        return build(found, F.array_position(names, F.regexp_extract(found, "[а-яё]+", 0)).cast("int"))
 
-    return let(F.regexp_extract(c, named, 0), by_name)
+    def first(forms):
+        if not forms:
+            return F.lit(None).cast("date")
+        (pattern, read), rest = forms[0], forms[1:]
+        return let(F.regexp_extract(c, pattern, 0), lambda found: F.when(found != "", read(found)).otherwise(first(rest)))
+
+    forms = [(named, by_name), (dotted, by_number)]
+    return first(forms if strict else [*forms, (loose_named, by_name), (loose_dotted, by_number)])
 
 
 def let(value: Column, body) -> Column:

@@ -13,6 +13,7 @@ per run), and with ``--archive`` also ``pages``.
 from __future__ import annotations
 
 import argparse
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,8 +53,13 @@ def checked_rules(spark: SparkSession, config: Mapping, languages: DataFrame, ba
 
 
 def run_job(spark: SparkSession, config: Mapping, pages: str, out: str, uids: Mapping[str, int],
-            run_date: str, base: str = "configs", archive: bool = False) -> DataFrame:
-    """Run once and store the results; the statistics per language."""
+            run_date: str, base: str = "configs", archive: bool = False, run_id: str | None = None) -> DataFrame:
+    """Run once and store the results; the statistics per language.
+
+    ``run_id`` names the run's rows in quarantine, statistics and archive: a
+    retry under the same name replaces them. Without one the run is a new one.
+    """
+    run_id = run_id or f"{run_date}-{uuid.uuid4().hex[:12]}"
     languages = checked_languages(spark, config)
     rules = checked_rules(spark, config, languages, base)
     limits = config.get("pagination") or {}
@@ -65,9 +71,9 @@ def run_job(spark: SparkSession, config: Mapping, pages: str, out: str, uids: Ma
         table.read(), run_date,
         limits.get("days_back_threshold", DAYS_BACK), limits.get("stop_on_known_chain_pages", STOP_AFTER))
     if archive:
-        sinks.write_page_archive(fetched, f"{out}/pages", run_date)
-    sinks.write_quarantine(run.issues, f"{out}/quarantine", run_date)
-    sinks.write_run_stats(run.stats, f"{out}/stats", run_date)
+        sinks.write_page_archive(fetched, f"{out}/pages", run_id)
+    sinks.write_quarantine(run.issues, f"{out}/quarantine", run_id)
+    sinks.write_run_stats(run.stats, f"{out}/stats", run_id)
     table.write(run.merged)
     return run.stats
 
@@ -78,11 +84,12 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument(f"--{name}", required=True)
     p.add_argument("--rules-folder", default="configs")
     p.add_argument("--archive", action="store_true")
+    p.add_argument("--run-id", help="name of this run; give the same one to retry it")
     a = p.parse_args(argv)
     spark = builder("news run").getOrCreate()
     uids = {k: int(v) for k, v in (pair.split("=") for pair in a.uids.split(","))}
     run_job(spark, read_config(spark, a.config), a.pages, a.out, uids, a.run_date, a.rules_folder,
-            a.archive).show(truncate=False)
+            a.archive, a.run_id).show(truncate=False)
 
 
 if __name__ == "__main__":
