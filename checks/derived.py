@@ -13,7 +13,9 @@ from tidings.session import cut, local_table, sized
 from tidings.sources import pages as page_source
 
 RUN_DATE = "2024-12-31"
-DAYS_BACK, STOP_AFTER, MAX_PAGES = 120, 3, 12
+DAYS_BACK, STOP_AFTER = 120, 3
+# Page limits: one that ends no chain, and one for the limit as a feature.
+UNBOUND, MAX_PAGES = 1_000_000_000, 12
 LANGS = ["de", "en", "es", "fr"]
 # The languages the news table knows; 'fr' is left out on purpose.
 UIDS = [(1, "de"), (2, "en"), (3, "es")]
@@ -37,7 +39,7 @@ def lang_dim(spark: SparkSession) -> DataFrame:
     return local_table(spark, UIDS, schema.LANG_DIM)
 
 
-def languages(spark: SparkSession, max_pages: int = 1_000_000_000) -> DataFrame:
+def languages(spark: SparkSession, max_pages: int = UNBOUND) -> DataFrame:
     rows = [(g, i + 1, f"https://example.org/{g}/1", max_pages) for i, g in enumerate(LANGS)]
     return local_table(spark, rows, schema.LANGUAGES)
 
@@ -99,8 +101,8 @@ SITE_LANGS = {"en": "ru", "de": "kg", "es": "es", "fr": "fr"}
 SITE_UIDS = [(1, "ru"), (2, "ky")]
 
 
-def site_languages(spark: SparkSession) -> DataFrame:
-    rows = [(SITE_LANGS[g], i + 1, f"https://example.org/{SITE_LANGS[g]}/1", MAX_PAGES)
+def site_languages(spark: SparkSession, max_pages: int = UNBOUND) -> DataFrame:
+    rows = [(SITE_LANGS[g], i + 1, f"https://example.org/{SITE_LANGS[g]}/1", max_pages)
             for i, g in enumerate(LANGS)]
     return local_table(spark, rows, schema.LANGUAGES)
 

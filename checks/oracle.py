@@ -319,19 +319,20 @@ SQL["run_stats"] = f"{RULE} {stats('langs', 1_000_000_000)}"
 SQL["run_stats_max_pages"] = (
     f"with {KNOWN}, {stop_rule('cards', 'page_num <= 5', d.STOP_AFTER)} {stats('langs', 5)}")
 
-SQL["page_chain"] = rf"""
-with recursive linked as (
-  select page_id, url, case when page_id % 7 = 6 then '' when page_id % 11 = 10 then 'https://gone.example/'
-    else coalesce((select n.url from pages n where n.page_id = p.page_id + 1), '') end as next_link from pages p),
-starts as (select regexp_extract(url, '//[^/]*/([a-z]+)/', 1) as lang, arg_min(url, page_id) as base_url
+SQL["page_chain"] = r"""
+with recursive starts as (
+  select regexp_extract(url, '//[^/]*/([a-z]+)/', 1) as lang, arg_min(url, page_id) as base_url
   from pages group by 1),
+linked as (
+  select lang, p.url, coalesce(n.url, case when lang in ('de', 'en') then '' else 'https://gone.example/' end) as next_link
+  from pages p left join pages n on n.page_id = p.page_id + 1 cross join (select lang from starts) s),
 walk as (
   select lang, 1 as page_num, base_url as url, coalesce(next_link, '') as next_link, next_link is not null as fetched
-  from starts left join linked on linked.url = base_url
+  from starts s left join linked l using (lang) where l.url = base_url
   union all
-  select lang, page_num + 1, w.next_link, coalesce(l.next_link, ''), l.next_link is not null
-  from walk w left join linked l on l.url = w.next_link
-  where w.next_link <> '' and page_num < 9)
+  select w.lang, page_num + 1, w.next_link, coalesce(l.next_link, ''), l.next_link is not null
+  from walk w left join linked l on l.lang = w.lang and l.url = w.next_link
+  where w.next_link <> '')
 select * from walk"""
 
 # --- Merge --------------------------------------------------------------------
@@ -388,7 +389,11 @@ union all select lang, 'duplicate' from rows where lang is not null group by lan
 # --- Whole runs ---------------------------------------------------------------
 
 NAMES = values(d.SITE_LANGS.items())
-SITE = f"""{CARDS.replace('articles as materialized', 'plain as materialized')
+
+
+def site(limit: int) -> str:
+    """The site's cards and the run over them, with so many pages at most."""
+    return f"""{CARDS.replace('articles as materialized', 'plain as materialized')
            .replace(values(d.UIDS), "(1, 'ru'), (2, 'kg')")},
 names as (select * from (values {NAMES}) t(lang, code)),
 articles as (select * replace (code as lang) from plain join names using (lang)),
@@ -413,16 +418,19 @@ seen as (
     case when {trim('whole')} = '' then title else {trim('whole')} end as text,
     cast(pos + coalesce(sum(cast(reason is null as int)) over (partition by lang, page_num order by pos
       rows between unbounded preceding and 1 preceding), 0) as int) as seq from checked),
-{stop_rule('(select * from seen where reason is null)', f'page_num <= {d.MAX_PAGES}', d.STOP_AFTER)},
+{stop_rule('(select * from seen where reason is null)', f'page_num <= {limit}', d.STOP_AFTER)},
 visited as (select seen.* from seen left join stopped using (lang)
-  where page_num <= coalesce(stop_page, {d.MAX_PAGES})),
+  where page_num <= coalesce(stop_page, {limit})),
 batch as materialized {deduped(f"(select lang_ord, page_num, pos, language_uid, seq as sequence_num, dt, title, text, url, thumbnail_url, "
                                f"{content_hash('seq', 'dt', 'title', 'text')} as check_sum "
                                "from visited join marks using (lang) join dim using (lang) where reason is null and dt >= mark)")}"""
-SQL["news_run"] = f"with {SITE} {UPSERT}"
-SQL["news_run_stats"] = f"with {SITE} {stats('(select code as lang from names)', d.MAX_PAGES)}"
+
+
+SQL["news_run"] = f"with {site(d.UNBOUND)} {UPSERT}"
+SQL["news_run_max_pages"] = f"with {site(d.MAX_PAGES)} {UPSERT}"
+SQL["news_run_stats"] = f"with {site(d.UNBOUND)} {stats('(select code as lang from names)', d.UNBOUND)}"
 SQL["news_run_issues"] = f"""
-with {SITE},
+with {site(d.UNBOUND)},
 issues as (
   select lang, page_num, reason, false as stored, seq from visited where reason is not null
   union all

@@ -12,16 +12,14 @@ def links(spark):
     return spark.createDataFrame(rows, "lang string, url string, next_link string").cache()
 
 
-def walk(spark, links, langs, **kw):
+def walk(spark, links, langs):
     languages = spark.createDataFrame([(g, i, u, n) for i, (g, u, n) in enumerate(langs)], schema.LANGUAGES)
-    rows = chain.page_chain(links, languages, **kw).collect()
+    rows = chain.page_chain(links, languages).collect()
     return sorted((r.lang, r.page_num, r.url, r.fetched) for r in rows)
 
 
-@pytest.mark.parametrize("small", [100, 0])
-def test_chains(spark, links, small):
-    """``small=0`` takes the way of a frontier too large to be local."""
-    got = walk(spark, links, [("a", "/1", 9), ("b", "/1", 4), ("c", "/1", 5), ("d", "/1", 5), ("e", "/1", 0)], small=small)
+def test_chains(spark, links):
+    got = walk(spark, links, [("a", "/1", 9), ("b", "/1", 4), ("c", "/1", 5), ("d", "/1", 5), ("e", "/1", 0)])
     assert got == [
         ("a", 1, "/1", True), ("a", 2, "/2", True), ("a", 3, "/3", True),
         ("b", 1, "/1", True), ("b", 2, "/2", True), ("b", 3, "/1", True), ("b", 4, "/2", True),
@@ -32,10 +30,31 @@ def test_no_language(spark, links):
     assert walk(spark, links, [("a", "/1", 0)]) == []
 
 
-def test_long_chain(spark, links, monkeypatch):
-    monkeypatch.setattr(chain, "LONG_CHAIN", 4)
-    got = walk(spark, links, [("b", "/1", 14)])
-    assert [n for _, n, _, _ in got] == list(range(1, 15))
+@pytest.mark.parametrize("limit", [1, 2, 3, 14, 16])
+def test_loop_ends_at_limit(spark, links, limit):
+    got = walk(spark, links, [("b", "/1", limit)])
+    assert [n for _, n, _, _ in got] == list(range(1, limit + 1))
+
+
+def test_null_link_ends_chain(spark):
+    links = spark.createDataFrame([("a", "/1", "/2"), ("a", "/2", None)], "lang string, url string, next_link string")
+    assert walk(spark, links, [("a", "/1", 9)]) == [("a", 1, "/1", True), ("a", 2, "/2", True)]
+
+
+def test_rounds_grow_with_logarithm(spark, monkeypatch):
+    """Sixteen times the pages: four more rounds of two tables each."""
+    made = []
+    plain = chain.written
+    monkeypatch.setattr(chain, "written", lambda df, name: made.append(name) or plain(df, name))
+
+    def rounds(pages):
+        made.clear()
+        links = spark.range(1, pages + 1).selectExpr("'a' as lang", "cast(id as string) as url",
+                                                     f"if(id < {pages}, cast(id + 1 as string), '') as next_link")
+        assert [n for _, n, _, _ in walk(spark, links, [("a", "1", 10**9)])] == list(range(1, pages + 1))
+        return len(made)
+
+    assert rounds(600) - rounds(38) == 8
 
 
 def test_latest_fetch(spark):

@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from checks import compare
+from checks import compare, queries as registered
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,7 +16,7 @@ def con():
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registered.QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert name in entry.oracle_sql()
     assert compare.compare(spark, con, name, SF).startswith("equal")

@@ -7,12 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.session import SMALL_ROWS, sized, small_rows
-
-# So many steps are gathered before they become one table.
-LONG_CHAIN = 64
-# So many URLs are looked for by a filter that the scan can use to skip data.
-FILTER_URLS = 1000
+from tidings.session import written
 
 
 def latest_fetch(pages: DataFrame, keys: list[str], tie: str | None = None) -> DataFrame:
@@ -27,47 +22,35 @@ def latest_fetch(pages: DataFrame, keys: list[str], tie: str | None = None) -> D
     return pages.groupBy(*keys).agg(best.alias("__r")).select(*keys, "__r.*")
 
 
-def page_chain(links: DataFrame, languages: DataFrame, small: int = SMALL_ROWS) -> DataFrame:
+def page_chain(links: DataFrame, languages: DataFrame) -> DataFrame:
     """``lang, page_num, url, next_link, fetched`` for every page a run visits.
 
     ``links`` has one row per (lang, url): ``lang, url, next_link``. It should
-    be a written table, as every step reads these columns once. The frontier
-    holds at most one row per language; while it is small it is a local table,
-    joined by broadcast, otherwise it is checkpointed and joined by shuffle. A
-    chain may loop; ``max_pages`` of its language ends it. The last row of a
-    chain may be a page that is linked but missing (``fetched`` is false).
+    be a written table, as it is read twice. Chains are followed by pointer
+    doubling: round k knows where ``2**k`` links lead from each page that has
+    so many successors, and appends that many pages to every chain. So the
+    number of joins grows with the logarithm of the longest chain, and nothing
+    goes through the driver. A chain may loop; ``max_pages`` of its language
+    ends it. The last row of a chain may be a page that is linked but missing
+    (``fetched`` is false).
     """
+    languages = languages.where("max_pages > 0")
     table = links.select("lang", "url", "next_link")
-    asked, found = [], []
-    step = languages.where("max_pages > 0").select(
-        "lang", F.lit(1).alias("page_num"), F.col("base_url").alias("url"), "max_pages")
+    jump = (table.where("next_link <> ''").join(languages.select("lang"), "lang", "left_semi")
+            .withColumnRenamed("next_link", "to"))
+    fresh = languages.select("lang", F.lit(1).alias("page_num"), F.col("base_url").alias("url"), "max_pages")
+    parts, span = [fresh], 1
     while True:
-        frontier = sized(step, small)
-        if frontier.isEmpty():
+        seen = reduce(DataFrame.unionByName, parts)
+        room = seen.where(F.col("page_num") <= F.col("max_pages") - span)
+        fresh = written(room.join(jump, ["lang", "url"]).select(
+            "lang", (F.col("page_num") + span).alias("page_num"), F.col("to").alias("url"), "max_pages"), "chain")
+        if fresh.isEmpty():
             break
-        hits = sized(_narrowed(table, frontier).join(frontier, ["lang", "url"]), small)
-        asked.append(frontier.select("lang", "page_num", "url"))
-        found.append(hits.select("lang", "page_num", "url", "next_link"))
-        if len(found) == LONG_CHAIN:
-            asked, found = [sized(_union(asked), small)], [sized(_union(found), small)]
-        step = hits.where("next_link <> '' and page_num < max_pages").select(
-            "lang", (F.col("page_num") + 1).alias("page_num"), F.col("next_link").alias("url"),
-            "max_pages")
-    if not found:
-        return frontier.select("lang", "page_num", "url", F.lit("").alias("next_link"),
-                               F.lit(False).alias("fetched"))
-    hits = _union(found)
-    missing = _union(asked).join(hits, ["lang", "page_num"], "left_anti")
-    return hits.withColumn("fetched", F.lit(True)).unionByName(
-        missing.select("lang", "page_num", "url", F.lit("").alias("next_link"),
-                       F.lit(False).alias("fetched")))
-
-
-def _union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _narrowed(table: DataFrame, frontier: DataFrame) -> DataFrame:
-    """Where few URLs are wanted, name them: a filter reaches the scan."""
-    rows = small_rows(frontier.select("url"), FILTER_URLS)
-    return table if rows is None else table.where(F.col("url").isin([r["url"] for r in rows]))
+        parts.append(fresh)
+        further = jump.select("lang", F.col("url").alias("to"), F.col("to").alias("end"))
+        jump = written(jump.join(further, ["lang", "to"]).select("lang", "url", F.col("end").alias("to")), "jumps")
+        span *= 2
+    return seen.drop("max_pages").join(table.withColumn("fetched", F.lit(True)), ["lang", "url"], "left").select(
+        "lang", "page_num", "url", F.coalesce("next_link", F.lit("")).alias("next_link"),
+        F.coalesce("fetched", F.lit(False)).alias("fetched"))

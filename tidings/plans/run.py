@@ -32,13 +32,12 @@ def extract_run(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """Next link and raw cards of every page, newest fetch per (lang, url).
 
     The markup is dropped before the shuffle. Written as a table, as chain,
-    statistics, quarantine and batch all read it and parsing is the costly part;
-    sorted by URL, so that the steps of a chain skip most of it.
+    statistics, quarantine and batch all read it and parsing is the costly part.
     """
     fetched = pages.select("lang", "url", "html", "fetched_at", F.xxhash64("html").alias("tie"))
     listing = extract.extract_listing(fetched, rules)
     latest = chain.latest_fetch(listing, ["lang", "url"], "tie").drop("fetched_at", "tie")
-    return written(latest.sortWithinPartitions("lang", "url"), "listing")
+    return written(latest, "listing")
 
 
 def run_news(pages: DataFrame, rules: DataFrame, languages: DataFrame, lang_dim: DataFrame,
@@ -50,12 +49,13 @@ def run_news(pages: DataFrame, rules: DataFrame, languages: DataFrame, lang_dim:
     marks = sized(lookup.high_water_marks(news, languages, lang_dim, today, days_back))
 
     listing = extract_run(pages, rules)
-    visits = sized(chain.page_chain(listing, languages))
+    visits = written(chain.page_chain(listing, languages), "visits")
     judged = cd.judge(listing.drop("next_link").join(visits, ["lang", "url"]), F.col("lang"), today,
                       strict_dates)
     counted = cd.page_counts(judged.join(marks, "lang"), F.col("mark"))
-    # Counted pages are needed by the stop rule and again by what it lets pass.
-    counted = cut(counted)
+    # Counted pages are needed by the stop rule, which reads few columns, and
+    # again by what it lets pass.
+    counted = written(counted, "counted")
 
     none = F.lit(0)
     page_rows = counted.select("lang", "page_num", "url", "next_link", "fetched", "cards", "old")
