@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,16 +36,16 @@ def page_chain(links: DataFrame, languages: DataFrame) -> DataFrame:
     table = links.select("lang", "url", "next_link")
     jump = (table.where("next_link <> ''").join(languages.select("lang"), "lang", "left_semi")
             .withColumnRenamed("next_link", "to"))
-    fresh = languages.select("lang", F.lit(1).alias("page_num"), F.col("base_url").alias("url"), "max_pages")
-    parts, span = [fresh], 1
+    seen = languages.select("lang", F.lit(1).alias("page_num"), F.col("base_url").alias("url"), "max_pages")
+    span = 1
     while True:
-        seen = reduce(DataFrame.unionByName, parts)
         room = seen.where(F.col("page_num") <= F.col("max_pages") - span)
-        fresh = written(room.join(jump, ["lang", "url"]).select(
-            "lang", (F.col("page_num") + span).alias("page_num"), F.col("to").alias("url"), "max_pages"), "chain")
-        if fresh.isEmpty():
+        fresh = room.join(jump, ["lang", "url"]).select(
+            "lang", (F.col("page_num") + span).alias("page_num"), F.col("to").alias("url"), "max_pages")
+        grown = written(seen.unionByName(fresh), "chain")
+        if grown.where(F.col("page_num") > span).isEmpty():
             break
-        parts.append(fresh)
+        seen = grown
         further = jump.select("lang", F.col("url").alias("to"), F.col("to").alias("end"))
         jump = written(jump.join(further, ["lang", "to"]).select("lang", "url", F.col("end").alias("to")), "jumps")
         span *= 2
