@@ -35,15 +35,20 @@ from pyspark.sql import types as T
 
 from tidings.session import written
 
-K = 12
+K = 32
 BLOCK = 256
 PIVOTS = 256
 ROUNDS = 4
-ITERATIONS = 4
+ITERATIONS = 6
 # Share of neighbours that must change for another iteration.
 LEAST_CHANGE = 0.01
-BEAM = 32
-PART = "u long, cand array<struct<s:double,v:long>>"
+BEAM = 128
+# New neighbours that one neighbourhood offers to each of its members; what it
+# holds back is offered by another one or in the next iteration.
+LOCAL = 16
+# Neighbourhoods that one numpy step reads.
+STEP = 256
+PART = "u long, v long, s double"
 
 
 def valid(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -77,25 +82,21 @@ def _code(vec: pd.Series) -> pd.Series:
     return pd.Series(_packed(_unit(vec))) if len(vec) else pd.Series([], dtype=object)
 
 
-def _top(s: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray | None = None) -> tuple[np.ndarray, list]:
-    """Per row of similarities the ids of the ``k`` largest, itself not, that
-    are above its floor."""
+def _top(s: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray | None = None) -> pa.RecordBatch:
+    """(u, v, s) of every row's ``k`` most similar others that are above its
+    floor."""
     s = s.copy()
     np.fill_diagonal(s, -2)
     k = min(k, len(ids) - 1)
-    rows, out = [], []
-    if k < 1:
-        return np.array([], dtype=np.int64), out
-    best = np.argpartition(-s, k - 1, axis=1)[:, :k]
-    for i in range(len(ids)):
-        got = [(float(s[i, j]), int(ids[j])) for j in best[i] if floor is None or s[i, j] > floor[i]]
-        if got:
-            rows.append(i)
-            out.append([{"s": a, "v": b} for a, b in got])
-    return ids[rows], out
-
-
-_CAND = pa.list_(pa.struct([("s", pa.float64()), ("v", pa.int64())]))
+    best = np.argpartition(-s, k - 1, axis=1)[:, :k] if k > 0 else np.zeros((len(ids), 0), dtype=np.int64)
+    value = np.take_along_axis(s, best, axis=1)
+    # One vector may stand twice in a block, in two rounds.
+    keep = ids[best] != ids[:, None]
+    if floor is not None:
+        keep &= value > floor[:, None]
+    row, col = np.nonzero(keep)
+    return pa.RecordBatch.from_arrays([pa.array(ids[row], pa.int64()), pa.array(ids[best[row, col]], pa.int64()),
+                                       pa.array(value[row, col].astype(np.float64))], names=["u", "v", "s"])
 
 
 def _placed(pivots: np.ndarray, directions: np.ndarray):
@@ -122,30 +123,26 @@ def _blocks(k: int):
                 # A short rest is compared together with the block before it.
                 lo = max(0, min(lo, len(ids) - BLOCK))
                 part = slice(lo, lo + BLOCK)
-                u, cand = _top(x[part] @ x[part].T, ids[part], k)
-                # One vector may stand twice in a block, in two rounds.
-                cand = [[c for c in row if c["v"] != int(a)] for a, row in zip(u, cand)]
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(cand, _CAND)], names=["u", "cand"])
+                yield _top(x[part] @ x[part].T, ids[part], k)
     return run
 
 
-def _around(k: int):
+def _around(local: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            users, cands = [], []
-            for row in batch.column("m").to_pylist():
-                ids = np.array([r["a"] for r in row], dtype=np.int64)
-                x = np.frombuffer(b"".join(r["code"] for r in row), dtype=np.float16).reshape(len(ids), -1).astype(np.float32)
-                u, cand = _top(x @ x.T, ids, k, np.array([r["floor"] for r in row]))
-                users += u.tolist()
-                cands += cand
-            yield pa.RecordBatch.from_arrays([pa.array(users, pa.int64()), pa.array(cands, _CAND)], names=["u", "cand"])
+            for lo in range(0, batch.num_rows, STEP):
+                found = []
+                for row in batch.column("m").slice(lo, STEP).to_pylist():
+                    ids = np.array([r["a"] for r in row], dtype=np.int64)
+                    x = np.frombuffer(b"".join(r["code"] for r in row), dtype=np.float16).reshape(len(ids), -1).astype(np.float32)
+                    found.append(_top(x @ x.T, ids, local, np.array([r["floor"] for r in row])))
+                yield from pa.Table.from_batches(found).combine_chunks().to_batches()
     return run
 
 
 def _merged(parts: DataFrame, k: int) -> DataFrame:
     """The ``k`` best distinct candidates of every vector."""
-    flat = parts.select("u", F.explode("cand").alias("c")).groupBy("u", "c.v").agg(F.max("c.s").alias("s"))
+    flat = parts.groupBy("u", "v").agg(F.max("s").alias("s"))
     rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("s"), "v"))
     return flat.withColumn("rank", rank).where(F.col("rank") <= k).select("u", "v", "s")
 
@@ -173,9 +170,8 @@ def build(nodes: DataFrame, k: int = K, iterations: int = ITERATIONS, seed: int
         pairs = edges.select(F.col("u").alias("c"), F.col("v").alias("a")).union(back).distinct()
         # At most 2k members around a vector.
         around = pairs.join(known, "a").groupBy("c").agg(F.collect_list(F.struct("a", "code", "floor")).alias("m"))
-        found = around.select("m").mapInArrow(_around(k), PART)
-        old = edges.groupBy("u").agg(F.collect_list(F.struct("s", "v")).alias("cand"))
-        nxt = written(_merged(found.unionByName(old.select("u", "cand")), k), "graph")
+        found = around.select("m").mapInArrow(_around(LOCAL), PART)
+        nxt = written(_merged(found.unionByName(edges), k), "graph")
         total = edges.count()
         same = nxt.join(edges.select("u", "v"), ["u", "v"], "left_semi").count()
         edges, done = nxt, total - same < LEAST_CHANGE * total
