@@ -107,6 +107,16 @@ def test_strip_blocks_random(apply):
     assert apply(tx.strip_blocks, pages) == [plain_strip(p) for p in pages]
 
 
+def test_strip_blocks_plan_is_linear_in_the_names(spark):
+    rows = spark.createDataFrame([("<div>N3 x</div>y",)], "html string")
+    size = {}
+    for n in (1, 5, 20):
+        out = rows.select(tx.strip_blocks(F.col("html"), tuple(f"N{i}" for i in range(n))).alias("html"))
+        size[n] = out._jdf.queryExecution().analyzed().toString().count("regexp_replace")
+        assert out.first()["html"] == ("y" if n > 3 else "<div>N3 x</div>y")
+    assert size == {1: 3, 5: 15, 20: 60}
+
+
 def test_strip_blocks_long_text_ends_quickly(apply):
     hostile = "<aside>" + "Видео " * 20_000 + "<br>" * 20_000 + "<div>Похожие" + "<i>" * 50_000
     assert apply(tx.strip_blocks, [hostile]) == [hostile]

@@ -84,22 +84,30 @@ def image_value(value: Column, attr: Column) -> Column:
     return F.when(attr == "srcset", pick_srcset(value)).otherwise(value)
 
 
+def _one_argument(body, name: str):
+    return lambda page: body(page, name)
+
+
 def strip_blocks(c: Column, names: tuple[str, ...] = STRIP_BLOCKS) -> Column:
     """Cut div / section / aside blocks that carry one of the given headings.
 
     Possessive and atomic groups: every part can match in one way only, so the
     engine never backtracks over a long body and whole texts are processed.
     """
-    for name in names:
+    def without(page: Column, name: str) -> Column:
         lit = r"\Q" + name + r"\E"
-        cut = c
+        cut = page
         for tag in ("div", "section"):
             heading = rf"(?:{ASCII_SPACE}*+<h\d[^>]*+>{lit}</h\d>|{lit})"
             cut = F.regexp_replace(
                 cut, rf"(?iu)<{tag}[^>]*+>{heading}[^<]*+(?:(?!</{tag}>)<[^>]*+>)*+</{tag}>", "")
         cut = F.regexp_replace(
             cut, rf"(?iu)<aside[^>]*+>(?>[^<]*?{lit})[^<]*+(?:(?!</aside>)<[^>]*+>)*+</aside>", "")
-        c = F.when(F.rlike(c, F.lit(f"(?iu){lit}")), cut).otherwise(c)
+        return F.when(F.rlike(page, F.lit(f"(?iu){lit}")), cut).otherwise(page)
+
+    for name in names:
+        # Bound once per name, so that the plan grows with the names' number only.
+        c = F.get(F.transform(F.array(c), _one_argument(without, name)), F.lit(0))
     return c
 
 
