@@ -10,8 +10,12 @@ language that holds the largest share of the text's n-grams is predicted.
 An n-gram enters a language's filter when it occurs there at least
 ``MIN_COUNT`` times and at no less than ``SHARE`` of the rate of the language
 where it is most frequent. The filters are fitted on labelled documents; from
-more than ``fit_rows`` of them, whole documents are drawn by a hash of the id.
-The table has a fixed size, whatever the corpus.
+more than ``fit_rows`` of them, whole documents are drawn by a hash of the id,
+per language: the rows are dealt out evenly, and what a rare language leaves
+over goes to the others, so that a rare language is learnt from all its
+documents whatever the size of the corpus. A language with fewer than
+``ROWS_PER_COUNT`` documents for each of the ``MIN_COUNT`` needs fewer
+occurrences. The table has a fixed size, whatever the corpus.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 ties go to the language first in order; no labelled documents: every text is
@@ -20,7 +24,7 @@ ties go to the language first in order; no labelled documents: every text is
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,6 +39,7 @@ GRAMS = (3, 4)
 PROBES = 3
 SLOTS = 1 << 18
 MIN_COUNT = 5
+ROWS_PER_COUNT = 2
 SHARE = 0.3
 FIT_ROWS = 30_000
 STEP = 1_000_000
@@ -139,6 +144,19 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                                  names=["l", "g", "n"])
 
 
+def quota(sizes: Iterable[int], fit_rows: int) -> float:
+    """The most rows of one language that can be drawn, such that no more than
+    ``fit_rows`` are drawn in all and none are left over without need."""
+    left = fit_rows
+    sizes = sorted(sizes)
+    for i, n in enumerate(sizes):
+        even = left / (len(sizes) - i)
+        if n > even:
+            return even
+        left -= n
+    return float("inf")
+
+
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         fit_rows: int = FIT_ROWS, slots: int = SLOTS) -> Model:
     """Filters of all languages among the labelled documents."""
@@ -149,18 +167,25 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     table = np.zeros((slots, words), dtype=np.int64)
     if not languages:
         return Model([], table, np.zeros(0))
-    share = min(1.0, fit_rows / sum(per_lang.values()))
-    drawn = rows.where(F.pmod(F.xxhash64(F.lit("language id"), id_col), F.lit(1_000_000)) < share * 1_000_000)
+    most = quota(per_lang.values(), fit_rows)
     number = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col(lang_col)).cast("int") - 1
+    # In 2^40ths: a language may need a very small share.
+    bound = F.array(*[F.lit(int(min(1.0, most / per_lang[x]) * (1 << 40))) for x in languages])
+    drawn = rows.where(F.pmod(F.xxhash64(F.lit("language id"), id_col), F.lit(1 << 40)) < F.get(bound, number))
+    weights = dict(per_lang)
+    if most < max(per_lang.values()):
+        weights |= {r[0]: r[1] for r in drawn.groupBy(lang_col).count().collect()}
+    least = {x: MIN_COUNT if per_lang[x] > most else max(1, min(MIN_COUNT, per_lang[x] // ROWS_PER_COUNT)) for x in languages}
     counts = (drawn.select(F.col(text_col).alias("text"), number.alias("l")).mapInArrow(_count, "l int, g long, n long")
               .groupBy("g", "l").agg(F.sum("n").alias("n")).groupBy("g")
               .agg(F.collect_list(F.struct("l", "n")).alias("per"), F.sum("n").alias("all"))
-              .where(F.col("all") >= MIN_COUNT))
-    # Rates compare languages of unequal size; totals follow the drawn texts' share.
-    weight = F.array(*[F.lit(1.0 / per_lang[x]) for x in languages])
+              .where(F.col("all") >= min(least.values())))
+    # Rates compare languages of unequal size and are drawn with unequal shares.
+    weight = F.array(*[F.lit(1.0 / weights[x]) for x in languages])
+    enough = F.array(*[F.lit(least[x]) for x in languages])
     rate = lambda x: x.n * F.get(weight, x.l)
     top = F.array_max(F.transform("per", rate))
-    chosen = F.filter("per", lambda x: (x.n >= MIN_COUNT) & (rate(x) >= top * SHARE))
+    chosen = F.filter("per", lambda x: (x.n >= F.get(enough, x.l)) & (rate(x) >= top * SHARE))
     probes = F.array(*[F.shiftright("g", 20 * j).bitwiseAND(F.lit(slots - 1)) for j in range(PROBES)])
     bits = (counts.select(F.explode(probes).alias("slot"), chosen.alias("per"))
             .select("slot", F.explode("per").alias("x"))

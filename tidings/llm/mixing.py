@@ -3,11 +3,14 @@
 A classifier fitted on the label table gives every document a posterior over
 domains. Nonnegative rates (how often a document is to be used) are then
 fitted so that the expected tokens of each domain, sum of rate * tokens *
-posterior, meet the targets: least squares of the relative errors by projected
-gradient with momentum, every step one aggregate over a table in Spark. Documents of equal
-posterior get equal rates, so the steps run over one row per distinct
-posterior (rounded to hundredths) that carries its tokens; that grouping loses
-nothing and is bounded by the number of such posteriors, not by the corpus.
+posterior, meet the targets: least squares of the relative errors and, of all
+rates that reach it, those nearest to one. Such rates are max(0, 1 + u * posterior)
+with one number u per domain, so the fit is a search for these few numbers:
+Newton steps on the convex dual problem, whose every step is one aggregate
+over the documents' tokens and posteriors in Spark. The search ends when the optimality
+condition holds, not after a number of steps, and an error is raised if it
+cannot be made to hold. Posteriors are kept in millionths, so that domains
+with a small share of every document count.
 
 Everything is DataFrame functions: words are hashed to ``SLOTS``, and a text's
 score is an aggregate over its words against a table of log likelihoods. The
@@ -24,7 +27,7 @@ rows; other columns, whatever their names, are not touched.
 from __future__ import annotations
 
 from collections.abc import Callable
-from math import log, sqrt
+from math import log
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -36,7 +39,9 @@ SLOTS = 4096
 FIT_ROWS = 20_000
 # Words after which further evidence is scaled down, as words are not independent.
 TEMPER = 200
-GRID = 100
+GRID = 1_000_000
+# Distance from one is weighed this much against the targets' squared errors.
+NEARNESS = (1e-2, 1e-4, 1e-6, 1e-8)
 DOMAINS = ("high", "low", "toxic")
 TARGETS = {"high": 0.75, "low": 0.17, "toxic": 0.08}
 _P = "_llm_p"
@@ -66,7 +71,7 @@ class Classifier:
         self.prior, self.ratio = prior, ratio
 
     def add_posterior(self, df: DataFrame, slots: str) -> DataFrame:
-        """``df`` with hundredths per domain, adding up to 100, in _llm_p. Each
+        """``df`` with millionths per domain, adding up to GRID, in _llm_p. Each
         step is bound to a column, so that no text is scored twice."""
         later = range(1, len(DOMAINS))
         sums = {}
@@ -115,46 +120,52 @@ def with_posteriors(docs: DataFrame, model: Classifier, text_col: str = "text")
     return model.add_posterior(slotted, "_llm_slots").drop("_llm_slots")
 
 
-def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, steps: int = 60, tolerance: float = 1e-5) -> DataFrame:
-    """(_llm_p, _llm_rate) for every distinct posterior of ``members``
-    (_llm_p, _llm_tokens). All rates start at one; the tokens' total is kept."""
+def rate(u: np.ndarray) -> Column:
+    """The rate of a document by its posterior."""
+    return F.greatest(F.lit(0.0), F.lit(1.0) + sum((F.get(_P, F.lit(i)) * F.lit(float(x) / GRID) for i, x in enumerate(u)), F.lit(0.0)))
+
+
+def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, tolerance: float = 1e-7) -> np.ndarray:
+    """The number of each domain that ``rate`` takes, for ``members`` (_llm_p,
+    _llm_tokens). ``tolerance`` bounds how far the optimality condition may be
+    off, as a part of all tokens; ValueError if that is not reached."""
     k = range(len(DOMAINS))
-    grouped = members.groupBy(_P).agg(F.sum("_llm_tokens").cast("double").alias("n"))
     p = [F.get(_P, F.lit(i)) / GRID for i in k]
-    state = written(grouped.select(_P, "n", F.lit(1.0).alias("r"), F.lit(1.0).alias("y")), "rates")
-    n = F.col("n")
-    moments = state.agg(F.sum(n), *[F.sum(n * p[i] * p[j]) for i in k for j in k]).first()
-    tokens = moments[0] or 0.0
+    n = F.col("_llm_tokens").cast("double")
+    sums = members.agg(F.sum(n), *[F.sum(n * x) for x in p]).first()
+    tokens = sums[0] or 0.0
+    u = np.zeros(len(DOMAINS))
     if not tokens:
-        return state.select(_P, F.col("r").alias("_llm_rate"))
+        return u
     weight = np.array([targets[d] for d in DOMAINS])
     want = weight / weight.sum()
     # Errors count relative to a domain's share of the tokens at the start.
-    second = np.array(moments[1:], dtype=float).reshape(len(DOMAINS), -1) / tokens
-    share = np.maximum(second.sum(axis=1), 1e-6)
-    curve = np.linalg.eigvalsh(second / np.sqrt(np.outer(share, share)))
-    step, low = 1 / curve[-1], max(curve[0], curve[-1] * 1e-3)
-    ratio = sqrt(low / curve[-1])
-    momentum = (1 - ratio) / (1 + ratio)
-    for i in range(steps):
-        sums = state.agg(*[F.sum(n * x * F.col(c)) for c in ("y", "r") for x in p]).first()
-        off = np.array(sums, dtype=float).reshape(2, -1) / tokens - want
-        if abs(off[1]).max() < tolerance:
-            break
-        moved = F.col("y")
-        for x, g in zip(p, off[0] / share):
-            moved = moved - x * float(step * g)
-        state = (state.withColumn("next", F.greatest(F.lit(0.0), moved))
-                 .select(_P, "n", F.col("next").alias("r"), (F.col("next") + (F.col("next") - F.col("r")) * momentum).alias("y")))
-        if i % 6 == 5:
-            state = written(state, "rates")
-    return written(state.select(_P, F.col("r").alias("_llm_rate")), "rates")
-
-
-def _rated(members: DataFrame, rates: DataFrame) -> DataFrame:
-    """A row per distinct posterior: at most 5,151 rows for three domains on
-    the grid of hundredths, which bounds the broadcast."""
-    return members.join(F.broadcast(rates), _P)
+    share = np.maximum(np.array(sums[1:], dtype=float) / tokens, 1e-6)
+
+    def at(u: np.ndarray, near: float) -> tuple[float, np.ndarray, np.ndarray]:
+        """The dual problem's value, gradient and curvature."""
+        r = rate(u)
+        used = F.when(r > 0, n)
+        row = members.agg(F.sum(n * r * r), *[F.sum(n * r * x) for x in p],
+                          *[F.sum(used * p[i] * p[j]) for i in k for j in k]).first()
+        got = np.array([x or 0.0 for x in row], dtype=float) / tokens
+        return (got[0] / 2 - u @ want + near * (share * u * u).sum() / 2, got[1:1 + len(k)] - want + near * share * u,
+                got[1 + len(k):].reshape(len(k), -1) + near * np.diag(share))
+
+    for near in NEARNESS:
+        value, slope, curve = at(u, near)
+        while abs(slope).max() > tolerance:
+            move, length = -np.linalg.solve(curve, slope), 1.0
+            while True:
+                tried = at(u + length * move, near)
+                # Near the end the value no longer tells, but the slope does.
+                if tried[0] <= value + 1e-4 * length * (slope @ move) or abs(tried[1]).max() < abs(slope).max() / 2:
+                    break
+                length /= 2
+                if length < 1e-12:
+                    raise ValueError(f"the rates' optimality condition is off by {abs(slope).max():.1e} of all tokens")
+            u, (value, slope, curve) = u + length * move, tried
+    return u
 
 
 def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS,
@@ -163,7 +174,7 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
     model = fit_classifier(docs, labels, id_col=id_col, text_col=text_col, **options)
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     members = written(with_posteriors(narrow, model).drop("text"), "posteriors")
-    out = _rated(members, fit_rates(members, targets))
+    out = members.withColumn("_llm_rate", rate(fit_rates(members, targets)))
     return out.select("doc_id", F.col("_llm_tokens").alias("tokens"),
                       *[(F.get(_P, F.lit(i)) / GRID).alias(f"p_{d}") for i, d in enumerate(DOMAINS)],
                       F.col("_llm_rate").alias("rate"), copies("doc_id").alias("copies"))
@@ -182,6 +193,6 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
     names = docs.columns
     model = fit_classifier(docs, labels, id_col=id_col, text_col=text_col, **options)
     members = written(with_posteriors(docs.select(F.col(text_col).alias("text")), model).drop("text"), "posteriors")
-    rated = _rated(with_posteriors(docs, model, text_col), fit_rates(members, targets))
+    rated = with_posteriors(docs, model, text_col).withColumn("_llm_rate", rate(fit_rates(members, targets)))
     often = rated.withColumn("_llm_copies", F.explode(F.array_repeat(F.lit(1), copies(id_col))))
     return often.select(names)

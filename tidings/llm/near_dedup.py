@@ -190,6 +190,8 @@ def classes_of(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
     needed = groups.select("class", "key", "digest").join(size.select("class"), "class", "left_semi")
     texts = (docs.select(key_of(id_col).alias("key"), digest_of(text_col).alias("digest"), text_of(text_col).alias("text"))
              .join(needed, ["key", "digest"]).select("class", "text"))
+    # Rows that repeat id and text stand in one class, which has one set.
+    texts = texts.groupBy("class").agg(F.first("text").alias("text"))
     sets = written(texts.mapInArrow(_sets(width), "class binary, set array<long>"), "sets")
     links = written(_verified(star, sets, percent), "links")
     label = components(links, "a", "b")

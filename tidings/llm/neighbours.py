@@ -7,8 +7,10 @@ over. Then it is refined: around every vector its neighbours, and those that
 have it as neighbour, are joined and compared with each other, and each keeps
 what is better than its worst neighbour, until few change. Queries walk the
 graph: the best vectors found so far are expanded until all of them have been.
-Graph and walk use rounded unit vectors; results are scored on the original
-ones in double precision.
+Graph, walk and results all use the double-precision cosine of the original
+vectors: a node's code is its vector unrounded (four bytes a component where
+the column holds floats, else eight), so that near copies, whose cosines differ
+by little, are ranked as in the result.
 
 All vectors are in the index. Equal vectors are one node and come back as
 each of their ids, so a vector that a third of the rows hold costs no more
@@ -24,7 +26,7 @@ than asked for are all returned; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -68,18 +70,22 @@ def _unit(column) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _packed(x: np.ndarray) -> list[bytes]:
-    return [row.tobytes() for row in x.astype(np.float16)]
+def kind_of(df: DataFrame, vec_col: str) -> str:
+    """The number type of codes that hold the column's vectors unrounded."""
+    return "f4" if isinstance(df.schema[vec_col].dataType.elementType, T.FloatType) else "f8"
 
 
-def _unpacked(column: pa.Array) -> np.ndarray:
-    rows = column.to_pylist()
-    return np.frombuffer(b"".join(rows), dtype=np.float16).reshape(len(rows), -1).astype(np.float32)
+def _unpacked(rows: Iterable[bytes], kind: str) -> np.ndarray:
+    """Unit vectors of the codes, one row each."""
+    rows = list(rows)
+    return _unit(np.frombuffer(b"".join(rows), dtype=kind).reshape(len(rows), -1))
 
 
-@F.pandas_udf(T.BinaryType())
-def _code(vec: pd.Series) -> pd.Series:
-    return pd.Series(_packed(_unit(vec))) if len(vec) else pd.Series([], dtype=object)
+def _code(kind: str):
+    @F.pandas_udf(T.BinaryType())
+    def run(vec: pd.Series) -> pd.Series:
+        return pd.Series([np.asarray(v, dtype=kind).tobytes() for v in vec], dtype=object)
+    return run("vec")
 
 
 def _top(s: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray | None = None) -> pa.RecordBatch:
@@ -99,10 +105,10 @@ def _top(s: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray | None = None
                                        pa.array(value[row, col].astype(np.float64))], names=["u", "v", "s"])
 
 
-def _placed(pivots: np.ndarray, directions: np.ndarray):
+def _placed(pivots: np.ndarray, directions: np.ndarray, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _unpacked(batch.column("code")) if batch.num_rows else np.zeros((0, pivots.shape[2]), np.float32)
+            x = _unpacked(batch.column("code").to_pylist(), kind) if batch.num_rows else np.zeros((0, pivots.shape[2]))
             for t in range(len(pivots)):
                 near = (x @ pivots[t].T).argmax(axis=1)
                 along = x @ directions[t]
@@ -113,12 +119,12 @@ def _placed(pivots: np.ndarray, directions: np.ndarray):
     return run
 
 
-def _blocks(k: int):
+def _blocks(k: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, x = batch.column("node").to_numpy(), None
             if len(ids):
-                x = _unpacked(batch.column("code"))
+                x = _unpacked(batch.column("code").to_pylist(), kind)
             for lo in range(0, len(ids), BLOCK):
                 # A short rest is compared together with the block before it.
                 lo = max(0, min(lo, len(ids) - BLOCK))
@@ -127,14 +133,14 @@ def _blocks(k: int):
     return run
 
 
-def _around(local: int):
+def _around(local: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, STEP):
                 found = []
                 for row in batch.column("m").slice(lo, STEP).to_pylist():
                     ids = np.array([r["a"] for r in row], dtype=np.int64)
-                    x = np.frombuffer(b"".join(r["code"] for r in row), dtype=np.float16).reshape(len(ids), -1).astype(np.float32)
+                    x = _unpacked((r["code"] for r in row), kind)
                     found.append(_top(x @ x.T, ids, local, np.array([r["floor"] for r in row])))
                 yield from pa.Table.from_batches(found).combine_chunks().to_batches()
     return run
@@ -147,18 +153,19 @@ def _merged(parts: DataFrame, k: int) -> DataFrame:
     return flat.withColumn("rank", rank).where(F.col("rank") <= k).select("u", "v", "s")
 
 
-def build(nodes: DataFrame, k: int = K, iterations: int = ITERATIONS, seed: int = 1) -> DataFrame:
-    """Edges (u, v, s) of the graph over ``nodes`` (node, code)."""
+def build(nodes: DataFrame, kind: str, k: int = K, iterations: int = ITERATIONS, seed: int = 1) -> DataFrame:
+    """Edges (u, v, s) of the graph over ``nodes`` (node, code); ``kind`` is
+    the codes' number type."""
     sample = nodes.orderBy(F.xxhash64("node")).limit(PIVOTS * ROUNDS).select("code").collect()
     if len(sample) < 2:
         return nodes.sparkSession.createDataFrame([], "u long, v long, s double")
-    x = np.array([np.frombuffer(r[0], dtype=np.float16) for r in sample]).astype(np.float32)
+    x = _unpacked((r[0] for r in sample), kind)
     draw = np.random.default_rng(seed)
     pivots = np.array([x[draw.choice(len(x), min(PIVOTS, len(x)), replace=False)] for _ in range(ROUNDS)])
-    directions = draw.normal(size=(ROUNDS, x.shape[1])).astype(np.float32)
-    placed = nodes.mapInArrow(_placed(pivots, directions), "node long, code binary, t int, pivot int, along double")
+    directions = draw.normal(size=(ROUNDS, x.shape[1]))
+    placed = nodes.mapInArrow(_placed(pivots, directions, kind), "node long, code binary, t int, pivot int, along double")
     order = ["t", "pivot", "along", "node"]
-    start = placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks(k), PART)
+    start = placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks(k, kind), PART)
     edges = written(_merged(start, k), "graph")
     for _ in range(iterations):
         back = edges.select(F.col("v").alias("c"), F.col("u").alias("a"), "s")
@@ -170,7 +177,7 @@ def build(nodes: DataFrame, k: int = K, iterations: int = ITERATIONS, seed: int
         pairs = edges.select(F.col("u").alias("c"), F.col("v").alias("a")).union(back).distinct()
         # At most 2k members around a vector.
         around = pairs.join(known, "a").groupBy("c").agg(F.collect_list(F.struct("a", "code", "floor")).alias("m"))
-        found = around.select("m").mapInArrow(_around(LOCAL), PART)
+        found = around.select("m").mapInArrow(_around(LOCAL, kind), PART)
         nxt = written(_merged(found.unionByName(edges), k), "graph")
         total = edges.count()
         same = nxt.join(edges.select("u", "v"), ["u", "v"], "left_semi").count()
@@ -180,11 +187,11 @@ def build(nodes: DataFrame, k: int = K, iterations: int = ITERATIONS, seed: int
     return edges
 
 
-@F.pandas_udf(T.DoubleType())
-def _near(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series(np.einsum("ij,ij->i", np.array([np.frombuffer(x, np.float16) for x in a]).astype(np.float32),
-                               np.array([np.frombuffer(x, np.float16) for x in b]).astype(np.float32)).astype(np.float64)
-                     if len(a) else [], dtype=float)
+def _near(a: str, b: str, kind: str):
+    @F.pandas_udf(T.DoubleType())
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series(np.einsum("ij,ij->i", _unpacked(x, kind), _unpacked(y, kind)) if len(x) else [], dtype=float)
+    return run(a, b)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -192,14 +199,15 @@ def cosine(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(np.einsum("ij,ij->i", _unit(a), _unit(b)) if len(a) else [], dtype=float)
 
 
-def walk(queries: DataFrame, starts: DataFrame, nodes: DataFrame, edges: DataFrame, beam: int = BEAM) -> DataFrame:
+def walk(queries: DataFrame, starts: DataFrame, nodes: DataFrame, edges: DataFrame, kind: str,
+         beam: int = BEAM) -> DataFrame:
     """(q, node) for the nodes found near each query (q, code) from its
     starting nodes (q, node): the ``beam`` best so far are expanded until all
     of them have been."""
     code = nodes.select("node", F.col("code").alias("other"))
 
     def scored(pairs: DataFrame) -> DataFrame:
-        return pairs.join(code, "node").join(queries, "q").select("q", "node", _near("code", "other").alias("s"))
+        return pairs.join(code, "node").join(queries, "q").select("q", "node", _near("code", "other", kind).alias("s"))
 
     best = Window.partitionBy("q").orderBy(F.desc("s"), "node")
     seen = written(scored(starts.distinct()).withColumn("fresh", F.lit(True)), "beam")
@@ -218,18 +226,19 @@ def search(vectors: DataFrame, wanted, k: int = 5, id_col: str = "vec_id", vec_c
     meets ``wanted`` (a condition on ``id``), itself excluded."""
     rows = written(valid(vectors, id_col, vec_col), "vectors")
     groups = rows.groupBy("vec").agg(F.min("id").alias("node"))
-    nodes = written(groups.select("node", "vec", _code("vec").alias("code")), "nodes")
+    kind = kind_of(vectors, vec_col)
+    nodes = written(groups.select("node", "vec", _code(kind).alias("code")), "nodes")
     # Of equal vectors the k + 1 smallest ids can be among the results.
     place = F.row_number().over(Window.partitionBy("node").orderBy("id"))
     owned = rows.join(nodes.select("node", "vec"), "vec").select("id", "node")
     members = written(owned, "members")
     few = members.withColumn("place", place).where(F.col("place") <= k + 1).select("node", F.col("id").alias("vec_id"))
-    edges = build(nodes.select("node", "code"))
+    edges = build(nodes.select("node", "code"), kind)
     # Equal query vectors walk once, from their own node.
     asked = members.where(wanted)
     queries = asked.select(F.col("node").alias("q")).distinct()
     found = walk(queries.join(nodes.select(F.col("node").alias("q"), "code"), "q"),
-                 queries.select("q", F.col("q").alias("node")), nodes.select("node", "code"), edges)
+                 queries.select("q", F.col("q").alias("node")), nodes.select("node", "code"), edges, kind)
     vec = nodes.select("node", "vec")
     exact = (found.join(vec, "node").join(vec.select(F.col("node").alias("q"), F.col("vec").alias("own")), "q")
              .select("q", "node", cosine("own", "vec").alias("score")))

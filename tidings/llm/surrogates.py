@@ -11,7 +11,9 @@ and blanks do not matter, and a name's parts are replaced alike wherever they
 stand). A collision check over the distinct entities of the whole corpus finds
 surrogates that two entities share, or that are themselves an entity of the
 corpus; all but the smallest of those entities try again with the next
-attempt until none is left. Only entities past their first attempt are joined
+attempt until none is left. Family names grow by a syllable every second
+attempt, so names cannot run out; the other kinds keep their format, so a
+corpus that holds nearly all strings of one format is an error. Only entities past their first attempt are joined
 back to the documents that hold them.
 
 Defined cases: a null text stays null; texts without entities come back as
@@ -170,7 +172,8 @@ def _name(key: bytes, kind: str, name: str, attempt: int) -> str:
             out.append(given[_draw(key, "given", gender, part, attempt) % len(given)])
         else:
             n, word = _draw(key, "family", part, attempt), ""
-            for _ in range(3):
+            # Longer with the attempts, so that there are names for any corpus.
+            for _ in range(3 + attempt // 2):
                 n, k = divmod(n, len(SYLLABLES[of]))
                 word += SYLLABLES[of][k]
             out.append((word + ENDINGS[of][n % len(ENDINGS[of])]).capitalize())
@@ -294,20 +297,23 @@ def _drawn(key: bytes) -> Column:
 
 def resolve(mentions: DataFrame, key: bytes, rounds: int = 50) -> DataFrame:
     """(kind, entity, attempt, surrogate) of every distinct entity, without
-    collisions."""
+    collisions. Names go on until none is left; of kinds that keep their format,
+    none may need more than ``rounds`` attempts."""
     start = mentions.select("kind", "entity").distinct().withColumn("attempt", F.lit(0))
     now = written(start.withColumn("surrogate", _drawn(key)), "entities")
-    for _ in range(rounds):
+    while True:
         shared = now.groupBy("kind", "surrogate").agg(F.min("entity").alias("first"), F.count("*").alias("n")).where("n > 1")
         lost = now.join(shared.select("kind", "surrogate", "first"), ["kind", "surrogate"]).where("entity <> first")
         real = now.join(now.select("kind", F.col("entity").alias("surrogate")), ["kind", "surrogate"], "left_semi")
         again = written(lost.select("kind", "entity").unionByName(real.select("kind", "entity")).distinct(), "collisions")
         if again.isEmpty():
             return now
+        spent = now.where((F.col("attempt") >= rounds) & ~F.col("kind").startswith("name")).join(again, ["kind", "entity"], "left_semi")
+        if not spent.isEmpty():
+            raise ValueError("the corpus holds nearly all strings of some format, so that no surrogates are left")
         kept = now.join(again, ["kind", "entity"], "left_anti")
         more = now.join(again, ["kind", "entity"], "left_semi").select("kind", "entity", (F.col("attempt") + 1).alias("attempt"))
         now = written(kept.unionByName(more.withColumn("surrogate", _drawn(key)).select(kept.columns)), "entities")
-    raise ValueError("surrogates of some kind are exhausted; add names or syllables")
 
 
 # Documents with an entity past its first attempt are broadcast up to this many.

@@ -104,9 +104,10 @@ def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None
     ends = edges.withColumns(parts("source")).withColumn("a", F.struct("host", "path", _node().alias("node"))).withColumns(
         parts("target")).withColumn("b", F.struct("host", "path", _node().alias("node"))).select("a", "b")
     ends = written(ends.where("a.node is not null and b.node is not null"), "aliases")
-    fits = written(match(named.select("host", "path").unionByName(ends.select("b.host", "b.path")), rules), "rules")
-
     nodes = ends.select("a.*").unionByName(ends.select("b.*")).distinct()
+    # A redirect's source need not be one of the pages.
+    fits = written(match(named.select("host", "path").unionByName(nodes.select("host", "path")), rules), "rules")
+
     label = components(ends.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")), "x", "y")
     ruled = nodes.join(label, "node").join(fits, ["host", "path"]).groupBy("label").agg(
         F.max(F.col("rule_verdict") == "allow").alias("allowed"))
