@@ -144,6 +144,7 @@ SQL["next_link"] = rf"""
 select page_id, split_part({trim(decode(
     "coalesce(list_filter(" + LINK.format(1) + ", lambda h: contains(h, 'th'))[1], '')"))}, '#', 1) as next_link
 from pages"""
+SQL["incremental_next_link"] = SQL["next_link"]
 SQL["image_srcset"] = """
 select page_id, case page_id % 3 when 0 then url when 1 then url else 'data:a 1x,data:b 2x' end as image,
   case page_id % 3 when 0 then 'data:image/gif 1x, ' || url || ' 2x'
@@ -247,6 +248,7 @@ left join (select language_uid, count(*) as n from known group by all) using (la
 SQL["known_urls"] = f"""
 with {KNOWN} select url, exists (select 1 from known k where k.url = c.url) as known
 from (select distinct url from cards) c"""
+SQL["table_marks"], SQL["table_counts"], SQL["table_known_urls"] = SQL["high_water_mark"], SQL["card_counts"], SQL["known_urls"]
 SQL["stored_urls"] = f"with {KNOWN} select distinct url from cards where url in (select url from known)"
 SQL["unseen_urls"] = f"with {KNOWN} select distinct url from cards where url not in (select url from known)"
 SQL["new_cards"] = f"""

@@ -18,6 +18,7 @@ from tidings.session import cut, sized, work_path, written
 from tidings.sources import pages as page_source
 from tidings.sources import rules as rl
 from tidings.sources import sinks
+from tidings.sources.parsed import ParsedPages
 from tidings.streaming import ingest
 
 c = F.col
@@ -120,6 +121,22 @@ def next_link(spark, sf):
     return _nav_listing(spark, sf).select("page_id", "next_link")
 
 
+@query
+def incremental_next_link(spark, sf):
+    """Pages that arrive by day, parsed once each: two days first, then the
+    folder as a whole, then again with nothing new."""
+    path, rules = work_path(spark, "fetched"), rl.rules_frame(spark, {"ru": NAV_RULES})
+    day = F.timestamp_seconds(F.lit(1_735_603_200) + c("page_id") % 4 * 86_400)
+    fetched = d.table(spark, sf, "pages").select(
+        c("page_id").cast("string").alias("url"), F.lit("ru").alias("lang"), "html", day.alias("fetched_at"))
+    parsed = ParsedPages(spark, work_path(spark, "parsed"))
+    of_day = c("url").cast("long") % 4
+    for run, arrived in (("first", of_day < 2), ("second", of_day >= 2), ("third", F.lit(False))):
+        sinks.write_fetches(fetched.where(arrived), path)
+        parsed.parse_new(page_source.read_pages(spark, path), rules, run)
+    return parsed.listing(rules).select(c("url").cast("long").alias("page_id"), "next_link")
+
+
 @query
 def image_srcset(spark, sf):
     """First listed URL of a ``srcset`` built from each page's address."""
@@ -291,6 +308,32 @@ def card_counts(spark, sf):
     return lookup.card_counts(d.known(spark, sf), d.languages(spark), d.lang_dim(spark))
 
 
+def _stored(spark, sf) -> sinks.NewsTable:
+    table = sinks.NewsTable(spark, work_path(spark, "news"))
+    table.write(d.known(spark, sf))
+    return table
+
+
+@query
+def table_marks(spark, sf):
+    """The marks again, from the manifest of the stored table alone."""
+    return lookup.high_water_marks(
+        _stored(spark, sf).summary(), d.languages(spark), d.lang_dim(spark), d.run_day(), d.DAYS_BACK)
+
+
+@query
+def table_counts(spark, sf):
+    """The counts again, from the manifest of the stored table alone."""
+    return lookup.card_counts(_stored(spark, sf).summary(), d.languages(spark), d.lang_dim(spark))
+
+
+@query
+def table_known_urls(spark, sf):
+    """The lookup again, in the buckets that may hold the URLs."""
+    urls = d.cards(spark, sf)
+    return lookup.known_urls(urls, _stored(spark, sf).read_for(urls))
+
+
 @query
 def known_urls(spark, sf):
     return lookup.known_urls(d.cards(spark, sf), d.known(spark, sf))
@@ -521,8 +564,7 @@ def page_archive(spark, sf):
 def stream_upsert(spark, sf):
     """Documents as a stream of cards, merged into the known table; marks frozen,
     no stop rule. The order of a batch is the document number."""
-    news = sinks.NewsTable(spark, work_path(spark, "news"))
-    news.write(d.known(spark, sf))
+    news = _stored(spark, sf)
     marks = ingest.frozen_marks(news.read(), d.languages(spark), d.lang_dim(spark), d.RUN_DATE, d.DAYS_BACK)
 
     def to_articles(docs: DataFrame) -> DataFrame:
@@ -568,7 +610,20 @@ def stream_pages(spark, sf):
 
 @query
 def stream_late_cards(spark, sf):
-    """Cards of the stream that only count, because they are before the mark."""
-    rows = d.cards(spark, sf)
-    _, late = ingest.new_and_late(rows, d.marks(spark, d.known(spark, sf)))
-    return late.groupBy("lang", "page_num").agg(F.count(F.lit(1)).alias("late"))
+    """A stream of cards: those before the mark only count, per micro-batch,
+    while the others are merged."""
+    source, late = work_path(spark, "cards"), work_path(spark, "late")
+    cards = d.cards(spark, sf)
+    cards.write.parquet(source)
+    news = _stored(spark, sf)
+    marks = ingest.frozen_marks(news.summary(), d.languages(spark), d.lang_dim(spark), d.RUN_DATE, d.DAYS_BACK)
+
+    def to_articles(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        new, old = ingest.new_and_late(rows, marks)
+        stored = lookup.with_language_uid(cd.to_articles(new, "lang_ord", "page_num", "pos"), d.lang_dim(spark))
+        return stored, ingest.late_per_page(old, "lang", "page_num")
+
+    stream = page_source.stream_pages(spark, source, cards.schema, files_per_batch=2)
+    ingest.ingest(stream, to_articles, news, ["lang_ord", "page_num", "pos"], work_path(spark, "stage"),
+                  work_path(spark, "stream"), late)
+    return ingest.late_counts(spark, late, "lang", "page_num")

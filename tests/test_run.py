@@ -138,6 +138,31 @@ def test_articles_staged_by_a_run_that_died_are_merged_by_the_next(spark, rules,
     assert sorted(r.url for r in table.read().collect()) == ["/1", "/2"]
 
 
+def test_late_cards_of_a_stream_count_once(spark, rules, languages, dim, tmp_path):
+    source, late = str(tmp_path / "pages"), str(tmp_path / "late")
+    for n in range(3):
+        cards = [card(f"/{n}-{i}", "Т", "1 мая 2023" if i <= n else "сегодня") for i in range(4)]
+        (fetched(spark, [(f"{BASE}/{n}", "ru", page(*cards))]).withColumn("page_num", F.lit(n)).coalesce(1).write.mode("append").parquet(source))
+    table = sinks.NewsTable(spark, str(tmp_path / "news"))
+    marks = ingest.frozen_marks(table.summary(), languages, dim, RUN, 120)
+
+    def to_articles(pages):
+        judged = cd.judge(extract.extract_listing(pages, rules), F.col("lang"), RUN)
+        new, old = ingest.new_and_late(cd.accepted_cards(judged, "lang", "page_num"), marks)
+        return (lookup.with_language_uid(cd.to_articles(new, "page_num", "pos"), dim), ingest.late_per_page(old, "lang", "page_num"))
+
+    def go(checkpoint):
+        stream = page_source.stream_pages(spark, source, files_per_batch=1)
+        ingest.ingest(stream, to_articles, table, ["page_num", "pos"], str(tmp_path / "stage"), str(tmp_path / checkpoint), late)
+        return {(r.lang, r.page_num): r.late for r in ingest.late_counts(spark, late, "lang", "page_num").collect()}
+
+    want = {("ru", n): n + 1 for n in range(3)}
+    assert ingest.late_counts(spark, late, "lang", "page_num").collect() == []
+    assert go("ck") == want and table.read().count() == 6
+    # Micro-batches that are repeated replace their counts.
+    assert go("again") == want and table.read().count() == 6
+
+
 def test_late_cards_only_count(spark):
     cards = spark.sql("select * from values ('ru', date'2024-01-01'), ('ru', date'2024-06-01'), ('ru', null) t(lang, dt)")
     marks = spark.sql("select 'ru' lang, date'2024-06-01' mark")

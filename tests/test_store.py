@@ -137,6 +137,67 @@ def test_news_table(spark, tmp_path):
     assert table.versions() == [3] and table.read().count() == 3
 
 
+def test_a_merge_rewrites_only_the_buckets_of_its_batch(spark, tmp_path):
+    table = sinks.NewsTable(spark, str(tmp_path / "news"), buckets=16)
+    table.write(news(spark, [(1 + i % 2, i, D(2024, 1, 1 + i % 28), "t", f"/{i}") for i in range(200)]))
+    batch = news(spark, [(1, 7, D(2025, 1, 1), "u", "/7"), (2, 1, D(2025, 1, 2), "u", "/new")])
+    touched = table.touched(batch)
+    before = {r.bucket: r.folder for r in table.manifest().collect()}
+    table.merge(batch)
+    after = {r.bucket: r.folder for r in table.manifest().collect()}
+    assert 1 <= len(touched) <= 2 and len(before) == 16
+    assert {b for b in after if after[b] != before.get(b)} == set(touched)
+    data = [p for p in (tmp_path / "news" / "data").iterdir()]
+    assert sorted(len(list(p.glob("bucket=*"))) for p in data) == [len(touched), 16]
+    rows = {r.url: r.title for r in table.read().collect()}
+    assert len(rows) == 201 and rows["/7"] == rows["/new"] == "u" and rows["/8"] == "t"
+    # Older versions keep their files until they expire; then only unnamed files go.
+    assert table.read(1).count() == 200
+    table.expire(keep=1)
+    assert table.read().count() == 201 and table.versions() == [2]
+    named = {r.folder for r in table.manifest().collect()}
+    assert {f"{p.parent.name}/{p.name}" for p in (tmp_path / "news" / "data").glob("*/bucket=*")} == named
+    # The number of buckets is the table's own.
+    assert sinks.NewsTable(spark, table.root, buckets=3).touched(batch) == touched
+
+
+def test_files_of_a_writer_that_died_do_not_count(spark, tmp_path):
+    table = sinks.NewsTable(spark, str(tmp_path / "news"), buckets=4)
+    table.merge(news(spark, [(1, 1, D(2024, 1, 1), "a", "/a")]))
+    lost = tmp_path / "news" / "data" / "w=lost" / "bucket=0"
+    lost.mkdir(parents=True)
+    (lost / "part-0.parquet").write_bytes(b"half")
+    assert table.read().count() == 1
+    table.expire()
+    assert not lost.exists() and table.read().count() == 1
+
+
+def test_marks_and_counts_read_no_data(spark, dim, langs, tmp_path):
+    rows = [(1, 1, D(2024, 12, 1), "a", "/a"), (1, 1, D(2024, 11, 1), "b", "/b"), (7, 1, None, "c", "/c")]
+    table = sinks.NewsTable(spark, str(tmp_path / "news"), buckets=4)
+    day = F.lit("2024-12-31").cast("date")
+    table.write(news(spark, rows))
+    table.merge(news(spark, [(2, 3, D(2024, 12, 5), "k", "/k")]))
+    marks = lookup.high_water_marks(table.summary(), langs, dim, day, 120)
+    assert sorted(map(tuple, marks.collect())) == sorted(map(tuple, lookup.high_water_marks(table.read(), langs, dim, day, 120).collect()))
+    counts = lookup.card_counts(table.summary(), langs, dim)
+    assert sorted(map(tuple, counts.collect())) == [("kg", 1), ("ru", 2)]
+    for df in (marks, counts):
+        assert "/data/" not in df._jdf.queryExecution().executedPlan().toString()
+        assert all("/data/" not in f for f in df.inputFiles())
+    empty = sinks.NewsTable(spark, str(tmp_path / "none")).summary()
+    assert sorted(map(tuple, lookup.card_counts(empty, langs, dim).collect())) == [("kg", 0), ("ru", 0)]
+
+
+def test_lookups_open_only_buckets_that_may_hold_a_url(spark, tmp_path):
+    table = sinks.NewsTable(spark, str(tmp_path / "news"), buckets=32)
+    table.write(news(spark, [(1, i, D(2024, 1, 1), "t", f"/{i}") for i in range(300)]))
+    urls = spark.createDataFrame([("/5",), ("/absent",)], "url string")
+    some = table.read_for(urls)
+    assert len({f.split("bucket=")[1].split("/")[0] for f in some.inputFiles()}) <= 2 < len(table.read().inputFiles())
+    assert sorted(map(tuple, lookup.known_urls(urls, some).collect())) == [("/5", True), ("/absent", False)]
+
+
 def test_checksum_refresh_of_the_table(spark, tmp_path):
     table = sinks.NewsTable(spark, str(tmp_path / "news"))
     table.write(news(spark, [(1, 1, D(2024, 1, 1), "a", "/a")]))

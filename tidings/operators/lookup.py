@@ -34,11 +34,19 @@ def a_year_before(day: Column) -> Column:
     return calendar_day(F.year(day) - 1, F.month(day), F.day(day))
 
 
+def by_language(news: DataFrame) -> DataFrame:
+    """``language_uid, n, newest`` of a news table, or of the rows of its
+    manifest, which hold these numbers already."""
+    summed = "newest" in news.columns
+    return news.groupBy("language_uid").agg(
+        (F.sum("n") if summed else F.count(F.lit(1))).alias("n"), F.max("newest" if summed else "dt").alias("newest"))
+
+
 def latest_dates(news: DataFrame, languages: DataFrame, lang_dim: DataFrame,
                  run_date: Column) -> DataFrame:
     """``lang, latest``: newest stored date, a year ago where nothing is stored,
-    NULL where the language code is unknown."""
-    newest = news.groupBy("language_uid").agg(F.max("dt").alias("newest"))
+    NULL where the language code is unknown. ``news`` may be the summary of a table."""
+    newest = by_language(news).drop("n")
     return (languages.select("lang").join(known_codes(lang_dim), "lang", "left")
             .join(newest, "language_uid", "left")
             .select("lang", F.when(F.col("language_uid").isNotNull(),
@@ -53,8 +61,9 @@ def high_water_marks(news: DataFrame, languages: DataFrame, lang_dim: DataFrame,
 
 
 def card_counts(news: DataFrame, languages: DataFrame, lang_dim: DataFrame) -> DataFrame:
-    """``lang, n`` stored cards per known language, zero included."""
-    counts = news.groupBy("language_uid").agg(F.count(F.lit(1)).alias("n"))
+    """``lang, n`` stored cards per known language, zero included. ``news`` may
+    be the summary of a table."""
+    counts = by_language(news).drop("newest")
     return (languages.select("lang").join(known_codes(lang_dim), "lang")
             .join(counts, "language_uid", "left")
             .select("lang", F.coalesce("n", F.lit(0)).alias("n")))

@@ -6,8 +6,9 @@
 
 The configuration lists the languages (name, base_url, selectors_file,
 accept_language, max_pages) and the limits of the stop rule. Results go below
-``--out``: ``news`` (table snapshots), ``quarantine`` and ``stats`` (one folder
-per run), and with ``--archive`` also ``pages``.
+``--out``: ``news`` (the table), ``parsed`` (pages parsed so far and their ledger), ``quarantine``
+and ``stats`` (one folder per run), and with ``--archive`` also ``pages``. Pages are read
+by day of fetch where their folder has ``fetch_date`` partitions.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from tidings.session import builder, local_table
 from tidings.sources import pages as page_source
 from tidings.sources import rules as rl
 from tidings.sources import sinks
+from tidings.sources.parsed import ParsedPages
+
 
 def read_config(spark: SparkSession, path: str) -> dict:
     import yaml  # optional: only YAML configurations need it
@@ -63,18 +66,21 @@ def run_job(spark: SparkSession, config: Mapping, pages: str, out: str, uids: Ma
     languages = checked_languages(spark, config)
     rules = checked_rules(spark, config, languages, base)
     limits = config.get("pagination") or {}
-    fetched = page_source.spread(page_source.read_pages(spark, pages))
+    fetched = page_source.read_pages(spark, pages)
+    parsed = ParsedPages(spark, f"{out}/parsed")
+    parsed.parse_new(fetched, rules, run_id)
     table = sinks.NewsTable(spark, f"{out}/news")
     run = run_news(
         fetched, rules, languages,
         local_table(spark, [(uid, alias) for alias, uid in uids.items()], schema.LANG_DIM),
         table.read(), run_date,
-        limits.get("days_back_threshold", DAYS_BACK), limits.get("stop_on_known_chain_pages", STOP_AFTER))
+        limits.get("days_back_threshold", DAYS_BACK), limits.get("stop_on_known_chain_pages", STOP_AFTER),
+        summary=table.summary(), listing=parsed.listing(rules))
     if archive:
         sinks.write_page_archive(fetched, f"{out}/pages", run_id)
     sinks.write_quarantine(run.issues, f"{out}/quarantine", run_id)
     sinks.write_run_stats(run.stats, f"{out}/stats", run_id)
-    table.write(run.merged)
+    table.merge(run.batch)
     return run.stats
 
 

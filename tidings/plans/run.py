@@ -42,13 +42,17 @@ def extract_run(pages: DataFrame, rules: DataFrame) -> DataFrame:
 
 def run_news(pages: DataFrame, rules: DataFrame, languages: DataFrame, lang_dim: DataFrame,
              news: DataFrame, run_date, days_back: int = DAYS_BACK,
-             stop_after: int = STOP_AFTER, strict_dates: bool = False) -> Run:
+             stop_after: int = STOP_AFTER, strict_dates: bool = False,
+             summary: DataFrame | None = None, listing: DataFrame | None = None) -> Run:
+    """``summary`` spares the marks a look at the table (``NewsTable.summary``),
+    ``listing`` holds pages that are parsed already (``ParsedPages.listing``); ``pages``
+    is then not read."""
     today = F.lit(str(run_date)).cast("date")
     languages = sized(languages)
     # The marks are read once and stay as they are for the whole run.
-    marks = sized(lookup.high_water_marks(news, languages, lang_dim, today, days_back))
+    marks = sized(lookup.high_water_marks(news if summary is None else summary, languages, lang_dim, today, days_back))
 
-    listing = extract_run(pages, rules)
+    listing = extract_run(pages, rules) if listing is None else written(listing, "listing")
     visits = written(chain.page_chain(listing, languages), "visits")
     judged = cd.judge(listing.drop("next_link").join(visits, ["lang", "url"]), F.col("lang"), today,
                       strict_dates)
