@@ -56,6 +56,23 @@ def test_mixing_of_domains_that_overlap(spark):
     assert max(off) < 1e-5 and (out.rate >= 0).all()
 
 
+def test_posteriors_of_a_rare_domain_are_calibrated(spark):
+    """On documents that the classifier was not fitted on, the mean posterior of
+    each domain is near its share."""
+    draw = random.Random(11)
+    words = [f"w{i}" for i in range(300)]
+    weight = [[1 + 0.6 * (i % 3 == d) for i in range(300)] for d in range(3)]
+    share = [d for d, n in ((0, 1400), (1, 1400), (2, 200)) for _ in range(n)]
+    draw.shuffle(share)
+    rows = [(i, " ".join(draw.choices(words, weight[d], k=draw.randint(20, 120))), "en", "s", 1) for i, d in enumerate(share)]
+    marks = [(i, int(d == 0), int(d == 2)) for i, d in enumerate(share) if i < 2000]
+    out = mixing.rates(docs(spark, rows), labels(spark, marks)).toPandas()
+    held = out[out.doc_id >= 2000]
+    off = [abs(held[f"p_{name}"].mean() - sum(share[i] == d for i in held.doc_id) / len(held)) for d, name in enumerate(mixing.DOMAINS)]
+    print("off by", off)
+    assert max(off) < 0.02
+
+
 def test_mixing_that_cannot_meet_its_targets(spark):
     """The least squares' conditions hold where no rates meet the targets."""
     draw = np.random.default_rng(2)

@@ -5,8 +5,10 @@ domains. Nonnegative rates (how often a document is to be used) are then
 fitted so that the expected tokens of each domain, sum of rate * tokens *
 posterior, meet the targets: least squares of the relative errors and, of all
 rates that reach it, those nearest to one. Such rates are max(0, 1 + u * posterior)
-with one number u per domain, so the fit is a search for these few numbers:
-Newton steps on the convex dual problem, whose every step is one aggregate
+with one number u per domain: gradient steps from rates of one, projected on
+nonnegative rates, only ever add multiples of the posteriors. The steps are
+scaled by the curvature over the documents in use (a projected Newton method),
+as plain ones need thousands where targets cannot be met; every step is one aggregate
 over the documents' tokens and posteriors in Spark. The search ends when the optimality
 condition holds, not after a number of steps, and an error is raised if it
 cannot be made to hold. Posteriors are kept in millionths, so that domains
@@ -105,10 +107,14 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS,
     # At most one row per domain and slot, and one per domain.
     counts = found.select("d", F.explode("slots").alias("slot")).groupBy("d", "slot").count().collect()
     docs_of = dict(found.groupBy("d").count().collect())
-    seen = np.full((len(DOMAINS), SLOTS), 0.5)
+    seen = np.zeros((len(DOMAINS), SLOTS))
     for d, slot, n in counts:
         seen[d, slot] += n
-    likelihood = np.log(seen / seen.sum(axis=1, keepdims=True))
+    # How much oftener a domain has a word than all domains together. Both
+    # sides are smoothed by one word, so that a domain with few documents is
+    # not marked down for words that it could hardly have shown.
+    usual = seen.sum(axis=1, keepdims=True) * seen.sum(axis=0) / max(seen.sum(), 1)
+    likelihood = np.log((seen + 1) / (usual + 1))
     total = sum(docs_of.values()) + len(DOMAINS)
     prior = [log((docs_of.get(k, 0) + 1) / total) for k in range(len(DOMAINS))]
     return Classifier(prior, likelihood - likelihood[0])
