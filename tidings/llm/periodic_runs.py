@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -140,10 +141,12 @@ def places(codes: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray]]:
         base, s = base * base, 2 * s
 
 
-def tiles(codes: np.ndarray, begin: np.ndarray, size: np.ndarray, tile: int = TILE) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
-    """(document, s, boundary, last, words): the tiles of a batch. ``words``
-    starts s words before ``boundary``; documents begin at ``begin``."""
+def tiles(codes: np.ndarray, begin: np.ndarray, size: np.ndarray, tile: int = TILE) -> Iterator[tuple[int, int, np.ndarray, list]]:
+    """(document, start, words, octaves): the tiles of a batch, ``start`` in the
+    document and octaves (s, first, last boundary + 1) in the tile. Octaves whose
+    tiles cover the same words share one. Documents begin at ``begin``."""
     n = int(size.max(initial=0))
+    cut: dict[tuple[int, int, int], list] = {}
     for s, found in places(codes, n):
         core = max(tile, 8 * s) // s * s
         doc = np.searchsorted(begin, found, side="right") - 1
@@ -153,17 +156,36 @@ def tiles(codes: np.ndarray, begin: np.ndarray, size: np.ndarray, tile: int = TI
             near = np.unique(np.concatenate([found[doc == d] // s + k for k in range(_blocks_of(s) + 1)])) * s
             for t in np.unique(near // core).tolist():
                 mine = near[near // core == t]
-                first, last = max(int(mine[0]), -(-lo // s) * s), min(int(mine[-1]) + 1, hi)
-                yield d, s, first, last, codes[max(first - s, lo):min(last + 3 * s, hi)]
+                cut.setdefault((d, core, t), []).append((s, max(int(mine[0]), -(-lo // s) * s), min(int(mine[-1]) + 1, hi)))
+    for (d, _, _), octaves in cut.items():
+        start = max(min(first - s for s, first, _ in octaves), int(begin[d]))
+        end = min(max(last + 3 * s for s, _, last in octaves), int(begin[d] + size[d]))
+        yield d, start - int(begin[d]), codes[start:end], [(s, first - start, last - start) for s, first, last in octaves]
 
 
-TILES = ("key long, doc_id long, n long, whole string, words array<string>, "
-         "tiles array<struct<s:long,at:long,first:long,last:long,codes:binary>>")
+def numbers(codes: np.ndarray) -> bytes:
+    """Codes as a tile holds them: numbered anew, in as few bytes each as will
+    do; the first byte says how many."""
+    anew = np.unique(codes, return_inverse=True)[1]
+    top = int(anew.max(initial=0))
+    kind = np.dtype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4")
+    return bytes([kind.itemsize]) + anew.astype(kind).tobytes()
+
+
+def codes_of(raw: bytes) -> list[int]:
+    return np.frombuffer(raw, dtype=f"<u{raw[0]}", offset=1).tolist()
+
+
+# ``words`` are joined by spaces and packed.
+TILES = ("key long, doc_id long, n long, whole string, words binary, "
+         "tiles array<struct<at:long,codes:binary,octaves:array<struct<s:long,first:long,last:long>>>>")
 
 
 def _tiled(tile: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("s", pa.int64()), ("at", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("codes", pa.binary())]))
+        octave = pa.struct([("s", pa.int64()), ("first", pa.int64()), ("last", pa.int64())])
+        kind = pa.list_(pa.struct([("at", pa.int64()), ("codes", pa.binary()), ("octaves", pa.list_(octave))]))
+        pack = zstandard.ZstdCompressor(level=3).compress
         key = TaskContext.get().partitionId() << 33
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
@@ -176,14 +198,13 @@ def _tiled(tile: int):
                     codes[at:at + len(w)] = np.fromiter(map(number.__getitem__, w), np.int64, len(w))
                     codes[at + len(w)] = -1 - i
                 cut: list[list] = [[] for _ in words]
-                for d, s, first, last, part in tiles(codes, begin, size, tile):
-                    at = max(first - s, int(begin[d])) - int(begin[d])
-                    own = first - int(begin[d])
-                    cut[d].append({"s": s, "at": at, "first": own - at, "last": own - at + last - first, "codes": part.astype("<u4").tobytes()})
+                for d, at, part, octaves in tiles(codes, begin, size, tile):
+                    cut[d].append({"at": at, "codes": numbers(part), "octaves": [dict(zip(("s", "first", "last"), o)) for o in octaves]})
+                joined = [b" ".join(w) for w in words]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(range(key, key + len(words)), pa.int64()), pa.array(ids[lo:hi], pa.int64()), pa.array(size, pa.int64()),
-                     pa.array([hashlib.sha256(b" ".join(w)).hexdigest() for w in words], pa.string()),
-                     pa.array([[x.decode() for x in w] if c else None for w, c in zip(words, cut)], pa.list_(pa.string())),
+                     pa.array([hashlib.sha256(w).hexdigest() for w in joined], pa.string()),
+                     pa.array([pack(w) if c else None for w, c in zip(joined, cut)], pa.binary()),
                      pa.array(cut, kind)], names=["key", "doc_id", "n", "whole", "words", "tiles"])
                 key += len(words)
     return run
@@ -193,8 +214,9 @@ def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for row in batch.to_pylist():
-            words = np.frombuffer(row["codes"], dtype="<u4").tolist()
-            out += [(row["key"], q, row["at"] + lo, row["at"] + hi) for q, lo, hi in solve(words, row["first"], row["last"], row["s"])]
+            words = codes_of(row["codes"])
+            out += [(row["key"], q, row["at"] + lo, row["at"] + hi) for o in row["octaves"]
+                    for q, lo, hi in solve(words, o["first"], o["last"], o["s"])]
         found = np.array(out, dtype=np.int64).reshape(-1, 4)
         yield pa.RecordBatch.from_arrays([pa.array(found[:, i]) for i in range(4)], names=["key", "q", "lo", "hi"])
 
@@ -210,7 +232,7 @@ def stitched(table: DataFrame) -> DataFrame:
     """(key, start, length, period): all runs of the documents in ``tiled``."""
     spark = table.sparkSession
     tile = table.where(F.size("tiles") > 0).select("key", F.explode("tiles").alias("t")).select("key", "t.*")
-    dealt = tile.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key", "s", "at")
+    dealt = tile.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key", "at")
     part = dealt.mapInArrow(_solved, "key long, q long, lo long, hi long")
     # Sorted pieces of one document and period; those that touch become one.
     order = Window.partitionBy("key", "q").orderBy("lo", "hi")
@@ -226,13 +248,15 @@ def stitched(table: DataFrame) -> DataFrame:
 def _collapsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kept = []
-        for words, runs in zip(batch.column("words").to_pylist(), batch.column("runs").to_pylist()):
+        unpack = zstandard.ZstdDecompressor().decompress
+        for packed, runs in zip(batch.column("words").to_pylist(), batch.column("runs").to_pylist()):
+            words = unpack(packed).split(b" ")
             drop = np.zeros(len(words) + 1, dtype=np.int64)
             for r in runs:
                 drop[r["start"] + r["period"]] += 1
                 drop[r["start"] + r["length"]] -= 1
             gone = np.cumsum(drop)
-            kept.append(" ".join([w for w, g in zip(words, gone.tolist()) if not g]))
+            kept.append(b" ".join([w for w, g in zip(words, gone.tolist()) if not g]).decode())
         yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(kept, pa.string())], names=["key", "collapsed"])
 
 
