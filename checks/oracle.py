@@ -427,6 +427,14 @@ issues as (
   select lang, page_num, 'no_thumb', reason is null, seq from visited
   where thumbnail_url = '' and coalesce(reason, '') not in ('no_title', 'no_url'))
 select lang, page_num, reason, stored, count(*) as n, cast(sum(seq) as bigint) as seq_sum from issues group by all"""
+SQL["news_run_rejects"] = f"""
+with {site(d.UNBOUND)},
+rejects as (
+  select lang, page_num, 'bad_date' as reason, seq from visited where reason is null and dt is null
+  union all
+  select lang, page_num, 'unknown_language', seq from visited join marks using (lang)
+  where reason is null and dt >= mark and lang not in (select lang from dim))
+select lang, page_num, reason, count(*) as n, cast(sum(seq) as bigint) as seq_sum from rejects group by all"""
 SQL["page_archive"] = r"""
 select url, regexp_extract(url, '//[^/]*/([a-z]+)/', 1) as lang, cast(page_id as int) as page_num, 200 as status, html
 from pages"""

@@ -547,6 +547,17 @@ def news_run_issues(spark, sf):
         F.count(F.lit(1)).alias("n"), F.sum("seq").alias("seq_sum"))
 
 
+@query
+def news_run_rejects(spark, sf):
+    """Cards of a run that passed all checks and cannot be stored, read back."""
+    path = work_path(spark, "rejects")
+    rejects = _run(spark, sf).rejects
+    sinks.write_quarantine(rejects, path, d.RUN_DATE)
+    rows = spark.read.schema(rejects.schema).parquet(path)
+    return rows.groupBy("lang", "page_num", "reason").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("seq").alias("seq_sum"))
+
+
 @query
 def page_archive(spark, sf):
     """Pages written by language and read back through the page source."""

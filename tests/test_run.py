@@ -90,6 +90,18 @@ def test_unknown_language_is_reported_not_stored(spark, rules, languages, tmp_pa
     assert {(r.lang, r.url) for r in out.unknown.collect()} == {("kg", "/a"), ("kg", "/k"), ("kg", "/k2")}
 
 
+def test_no_card_vanishes(spark, rules, languages, tmp_path):
+    only_ru = spark.createDataFrame([(1, "ru")], schema.LANG_DIM)
+    out = run(spark, fetched(spark, site()), rules, languages, only_ru, sinks.NewsTable(spark, str(tmp_path / "n")).read())
+    assert sorted((r.lang, r.page_num, r.reason, r.url, r.date_raw) for r in out.rejects.collect()) == [
+        ("kg", 1, "bad_date", "/u", "жок"), ("kg", 1, "unknown_language", "/a", "бүгүн"),
+        ("kg", 1, "unknown_language", "/k", "7 декабрь 2024"), ("kg", 2, "unknown_language", "/k2", "30.12.2024")]
+    # Every accepted card of a visited page is stored, before the mark, or rejected.
+    cards = sum(r.cards for r in out.pages.where("page_num <= 3").collect())
+    old = sum(r.old for r in out.pages.where("page_num <= 3").collect())
+    assert cards == old + out.batch.count() + out.rejects.count()
+
+
 def articles_of(rules, dim, marks):
     def to_articles(pages):
         judged = cd.judge(extract.extract_listing(pages, rules), F.col("lang"), RUN)

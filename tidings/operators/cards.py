@@ -120,6 +120,15 @@ def split_by_mark(cards: DataFrame, mark: Column) -> tuple[DataFrame, DataFrame]
     return cards.where(F.col("dt") >= mark), cards.where(F.col("dt") < mark)
 
 
+REJECT = ("lang", "page_num", "pos", "seq", "title", "url", "text", "date_raw")
+
+
+def undated_cards(cards: DataFrame) -> DataFrame:
+    """Accepted cards whose date cannot be read (``bad_date``): they count for
+    the stop rule, but are never stored."""
+    return cards.where(F.col("dt").isNull()).select(*REJECT, F.lit("bad_date").alias("reason"))
+
+
 def to_articles(cards: DataFrame, *keep: str) -> DataFrame:
     """Projection card -> article to store, with its checksum."""
     c = F.col

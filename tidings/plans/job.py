@@ -6,8 +6,8 @@
 
 The configuration lists the languages (name, base_url, selectors_file,
 accept_language, max_pages) and the limits of the stop rule. Results go below
-``--out``: ``news`` (the table), ``parsed`` (pages parsed so far and their ledger), ``quarantine``
-and ``stats`` (one folder per run), and with ``--archive`` also ``pages``. Pages are read
+``--out``: ``news`` (the table), ``parsed`` (pages parsed so far and their ledger), ``quarantine``,
+``rejects`` (cards without a readable date or of an unknown language) and ``stats`` (one folder per run), and with ``--archive`` also ``pages``. Pages are read
 by day of fetch where their folder has ``fetch_date`` partitions.
 """
 
@@ -79,6 +79,7 @@ def run_job(spark: SparkSession, config: Mapping, pages: str, out: str, uids: Ma
     if archive:
         sinks.write_page_archive(fetched, f"{out}/pages", run_id)
     sinks.write_quarantine(run.issues, f"{out}/quarantine", run_id)
+    sinks.write_quarantine(run.rejects, f"{out}/rejects", run_id)
     sinks.write_run_stats(run.stats, f"{out}/stats", run_id)
     table.merge(run.batch)
     return run.stats

@@ -25,6 +25,7 @@ class Run:
     batch: DataFrame      # new articles, one per URL
     issues: DataFrame     # cards for the quarantine
     unknown: DataFrame    # new articles of unknown languages
+    rejects: DataFrame    # accepted cards that cannot be stored, with the reason
     merged: DataFrame     # news table after the run, with status
 
 
@@ -74,6 +75,7 @@ def run_news(pages: DataFrame, rules: DataFrame, languages: DataFrame, lang_dim:
     issues = cd.card_issues(visited, "lang", "page_num")
     accepted = cd.accepted_cards(visited, "lang", "page_num", "mark")
     new, _ = cd.split_by_mark(accepted, F.col("mark"))
+    homeless = lookup.unknown_languages(new, lang_dim).select(*cd.REJECT, F.lit("unknown_language").alias("reason"))
     articles = cd.to_articles(new, "page_num", "pos")
     stored = lookup.with_language_uid(articles, lang_dim).join(
         languages.select("lang", "lang_ord"), "lang")
@@ -81,5 +83,6 @@ def run_news(pages: DataFrame, rules: DataFrame, languages: DataFrame, lang_dim:
     return Run(
         pages=page_rows, stats=stats, batch=batch, issues=issues,
         unknown=lookup.unknown_languages(articles, lang_dim),
+        rejects=cd.undated_cards(accepted).unionByName(homeless),
         merged=merge.merge_plan(news, batch),
     )
