@@ -167,6 +167,17 @@ def test_sketch_estimates_similarity():
     assert (tiny != np.iinfo(np.uint64).max).all()
 
 
+def test_bitmaps_never_differ_more_than_sets():
+    draw = np.random.default_rng(4)
+    for size in (1, 30, 400, 5000):
+        common = draw.integers(0, 2**63, size).astype(np.uint64)
+        a, b = (np.concatenate((common, draw.integers(0, 2**63, int(draw.integers(0, size + 1))).astype(np.uint64))) for _ in range(2))
+        apart = sum(int(x).bit_count() for x in (near_dedup.bitmap(a) ^ near_dedup.bitmap(b)).view(np.uint64))
+        assert apart <= len(np.setxor1d(a, b))
+        assert not (near_dedup.bitmap(a) ^ near_dedup.bitmap(a[::-1])).any()
+    assert not near_dedup.bitmap(np.zeros(0, dtype=np.uint64)).any()
+
+
 def test_language(spark):
     base = {"en": "the house and the garden of this old town were quiet", "fr": "la maison et le jardin de cette vieille ville étaient calmes",
             "de": "das haus und der garten dieser alten stadt waren ruhig"}
