@@ -304,6 +304,26 @@ def test_warc_is_the_same_on_every_run(spark, tmp_path):
     assert read.where("record_type = 'response'").count() == 7
 
 
+def test_warc_shards_hold_outlying_and_repeated_ids(spark, tmp_path):
+    """An id far from the others, and one id that most rows repeat."""
+    body = lambda i: f"<p>{i}</p>" * 30
+    rows = [(i, f"http://a/{i}", body(i)) for i in range(300)] + [(2**62, "http://z", body(1))]
+    rows += [(150, "http://a/150", body(150))] * 600 + [(None, f"http://n/{i}", body(i)) for i in range(100)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    files = warc.write(pages, str(tmp_path / "a"), shard_bytes=20_000)
+    total = sum(len(h) + 700 for *_, h in rows)
+    shards = {r.shard: r.n for r in files.groupBy("shard").agg(F.sum("records").alias("n")).collect()}
+    assert sum(shards.values()) == len(rows) and abs(len(shards) - total / 20_000) <= 2
+    assert max(shards.values()) * 700 < 30_000
+    found = warc.read(files, str(tmp_path / "a"), with_payload=False).collect()
+    least = {}
+    for i, _, h in rows:
+        least[h] = min(least.get(h, 2**63), -1 if i is None else i)
+    want = sorted((-1 if i is None else i, u, "response" if least[h] == (-1 if i is None else i) else "revisit") for i, u, h in rows)
+    assert sorted((-1 if r.page_id is None else r.page_id, r.url, r.record_type) for r in found) == want
+    assert all(r.intact for r in found)
+
+
 def test_neighbours(spark):
     draw = np.random.default_rng(8)
     x = draw.normal(size=(700, 16)) + draw.normal(size=(8, 16))[np.arange(700) % 8] * 2

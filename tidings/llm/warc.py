@@ -1,7 +1,13 @@
 """Writing pages as WARC archives, sharded and the same on every run.
 
-Records are put into shards by ranges of their id; a shard's bounds are cut
-from a histogram of bytes over the ids, so they follow from the data alone.
+Records are put into shards by ranges of their place: id, digest, a hash of the
+url, then a number that spreads rows repeating all three. The bounds are cut where the running
+sum of bytes in this order reaches a multiple of ``shard_bytes``, so they follow
+from the data alone, outlying or repeated ids do not fill a shard, and there are
+as many shards as the bytes need. Bounds are 22 bytes a shard, a millionth
+of the markup, and are all that passes through the driver. Which records
+revisit which is decided on ids and digests alone; the markup is shuffled once,
+to its shard, where a mark that sorts before a record names the one it revisits.
 Within a shard records are sorted, each is a gzip member of its own, and a file
 is closed once it has reached ``roll_bytes`` compressed. All headers and digests are made
 anew. A file is written under a temporary name and then renamed to a name that
@@ -14,7 +20,8 @@ smallest id is a response and the others revisit it.
 
 Defined cases: a null html is an empty payload; a null id sorts first and is
 written without the id's header; rows that repeat id and payload are written
-each, as what that id is; control characters and blanks in a url are escaped;
+each, as what that id is; a very long html is one record and may exceed the
+shard's size; other columns are not touched; control characters and blanks in a url are escaped;
 a null url is left out; an empty table gives no files. The shared folder must
 be one that Arrow's file systems can open (file, hdfs, s3, gs).
 """
@@ -27,9 +34,11 @@ import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.llm.common import NO_ID, digest_of, id_of, key_of
@@ -38,7 +47,6 @@ from tidings.session import work_path, written
 LEAST = 100
 ROLL_BYTES = 32_000_000
 SHARD_BYTES = 24_000_000
-BINS = 4096
 DATE = "2020-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FILES = "file string, shard int, part int, records long, bytes long, sha256 string, first_key long, last_key long"
@@ -140,11 +148,15 @@ def _write(root: str, roll_bytes: int):
     names = [c.split()[0] for c in FILES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer, rows = _Writer(root, roll_bytes), []
+        writer, rows, mark = _Writer(root, roll_bytes), [], (None,) * 4
         for batch in batches:
             columns = [batch.column(c) for c in ("shard", "key", "url", "html", "digest", "size", "winner")]
             for i in range(batch.num_rows):
                 shard, key, url, html, digest, size, winner = (c[i].as_py() for c in columns)
+                if winner is not None:
+                    mark = shard, key, digest, winner
+                    continue
+                winner = mark[3] if mark[:3] == (shard, key, digest) else None
                 rows += writer.add(shard, key, record(key, url, (html or "").encode(), digest.hex(), size, winner))
         if writer.out is not None:
             rows.append(writer.close())
@@ -153,22 +165,24 @@ def _write(root: str, roll_bytes: int):
     return run
 
 
-def _cuts(rows: DataFrame, shard_bytes: int) -> list[int]:
-    """The first key of every shard but the first, from the bytes in BINS
-    equal ranges of the ids."""
-    lo, hi = rows.where(F.col("key") != NO_ID).agg(F.min("key"), F.max("key")).first()
-    if lo is None:
-        return []
-    width = max(1, -(-(hi - lo + 1) // BINS))
-    bins = rows.where(F.col("key") != NO_ID).groupBy(F.expr(f"(key - {lo}L) div {width}L").alias("bin")).agg(
-        F.sum(F.col("size") + 700).alias("bytes"))
-    cuts, filled = [], 0
-    for i, size in sorted(bins.collect()):
-        if filled and filled + size > shard_bytes:
-            cuts.append(lo + i * width)
-            filled = 0
-        filled += size
-    return cuts
+def _place(spread: Column) -> Column:
+    """Key, digest and ``spread`` (48 bits) as bytes that sort in this order."""
+    digits = lambda c, n: F.unhex(F.lpad(F.hex(c), n, "0"))
+    # NO_ID is the smallest long: with its bit turned, keys sort as unsigned numbers.
+    return F.concat(digits(F.col("key").bitwiseXOR(F.lit(NO_ID)), 16), F.substring("digest", 1, 8), digits(spread, 12))
+
+
+def _cuts(narrow: DataFrame, shard_bytes: int) -> np.ndarray:
+    """The first place of every shard but the first, from (place, size)."""
+    parts = written(narrow.select("place", (F.col("size") + 700).alias("bytes")).repartitionByRange("place")
+                    .withColumn("part", F.spark_partition_id()), "places")
+    before = parts.groupBy("part").agg(F.min("place").alias("least"), F.sum("bytes").alias("bytes")).select(
+        "part", F.sum("bytes").over(Window.orderBy("least").rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
+    inside = F.sum("bytes").over(Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
+    at = F.coalesce("before", F.lit(0)) + F.coalesce(F.col("inside"), F.lit(0))
+    first = (parts.withColumn("inside", inside).join(before, "part")
+             .groupBy(F.floor(at / shard_bytes).alias("shard")).agg(F.min("place").alias("place")).where("shard > 0"))
+    return np.array(sorted({bytes(r.place) for r in first.select("place").collect()}), dtype="S22")
 
 
 def write(pages: DataFrame, root: str, least: int = LEAST, roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES,
@@ -177,18 +191,30 @@ def write(pages: DataFrame, root: str, least: int = LEAST, roll_bytes: int = ROL
     payload = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(key_of(id_col).alias("key"), F.col(url_col).alias("url"), payload.alias("html"),
                         digest_of(html_col).alias("digest"), F.octet_length(payload).cast("long").alias("size"))
-    narrow = written(rows.select("key", "digest", "size"), "payloads")
+    spread = F.shiftleft(F.xxhash64("url").bitwiseAND(F.lit(2**32 - 1)), 16).bitwiseOR(
+        F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit(2**16 - 1)))
+    rows = rows.withColumn("place", _place(spread))
+    narrow = written(rows.select("key", "digest", "size", "place"), "payloads")
+    cuts = _cuts(narrow, shard_bytes)
+
+    @F.pandas_udf("int")
+    def shard_of(place: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, np.array(place.tolist(), dtype="S22"), side="right"))
+
     first = narrow.where(F.col("size") >= least).groupBy("digest").agg(
         F.min("key").alias("winner"), F.count("*").alias("n")).where("n > 1").drop("n")
-    cuts = _cuts(narrow, shard_bytes)
-    bound = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<long>")
-    shard = F.size(F.filter(bound, lambda c: c <= F.col("key")))
     # A text shared by many rows makes its digest hot: AQE splits this join.
-    decided = rows.join(first, "digest", "left").withColumn(
-        "winner", F.when(F.col("winner") != F.col("key"), F.col("winner")))
-    decided = decided.select(shard.alias("shard"), "key", "url", F.when(F.col("winner").isNull(), F.col("html")).alias("html"),
-                             "digest", "size", "winner")
-    dealt = decided.repartition(len(cuts) + 1, "shard").sortWithinPartitions("shard", "key", "digest", "url")
+    marks = narrow.select("key", "digest").join(first, "digest").where("winner <> key").distinct()
+    # Rows that repeat id and digest may lie in several shards: each gets a mark.
+    ends = [shard_of(_place(F.lit(spread))) for spread in (0, 2**48 - 1)]
+    marks = marks.withColumns({"lo": ends[0], "hi": ends[1]}).select(
+        F.explode(F.sequence("lo", "hi")).alias("shard"), "key", F.lit(None).cast("string").alias("url"),
+        F.lit(None).cast("string").alias("html"), "digest", F.lit(0).cast("long").alias("size"), "winner")
+    records = rows.select(shard_of("place").alias("shard"), "key", "url", "html", "digest", "size",
+                          F.lit(None).cast("long").alias("winner"))
+    # A null sorts last, so a mark comes before the records it is for.
+    dealt = marks.unionByName(records).repartition(len(cuts) + 1, "shard").sortWithinPartitions(
+        "shard", "key", "digest", F.asc_nulls_last("winner"), "url")
     spark = pages.sparkSession
     dealt.mapInArrow(_write(root, roll_bytes), FILES).write.parquet(f"{root}/_manifest")
     return spark.read.parquet(f"{root}/_manifest")
