@@ -104,7 +104,7 @@ def test_a_rare_language_is_learnt_from_a_large_table(spark):
 
 def test_more_names_than_names_of_three_syllables(spark):
     letters = "абвгдежзиклмнопр"
-    names = [("name_m", "Щ" + "".join(x)) for x in product(letters, repeat=4)][:16_000]
+    names = [("family", "Щ" + "".join(x)) for x in product(letters, repeat=4)][:16_000]
     space = len(surrogates.SYLLABLES["cyrillic"]) ** 3 * len(surrogates.ENDINGS["cyrillic"])
     assert len(names) > space
     out = surrogates.resolve(spark.createDataFrame(names, "kind string, entity string"), b"k").collect()
@@ -112,6 +112,27 @@ def test_more_names_than_names_of_three_syllables(spark):
     assert len(out) == len(new) == len(names) and not new & {n for _, n in names}
 
 
+def test_names_stay_apart_and_their_parts_alike(spark):
+    """More given names than the lists hold, so that many collide; every part
+    has one surrogate wherever it stands, and no two names share one."""
+    given = {"Mr": ["Adam", "Mark"] + [f"Jo{a}{b}" for a, b in product("aeiou", "lmnrst")],
+             "Mrs": ["Eve"] + [f"Li{a}{b}" for a, b in product("aeiou", "lmnrst")]}
+    family = ["Smith", "Wisorax", "Kakawix"] + [f"Ka{a}{b}" for a, b in product("aeiou", "lmnrstvwx")]
+    names = [(t, g, f) for t in given for g in given[t] for f in family[:12]] + [(t, None, f) for t in given for f in family]
+    rows = [(i, f"{t}. {f if g is None else f'{g} {f}'}", "en", "s", 1) for i, (t, g, f) in enumerate(names)]
+    out = {r.doc_id: r.text.split(" ") for r in surrogates.pseudonymise(docs(spark, rows), b"k").collect()}
+    part = {}
+    for i, (t, g, f) in enumerate(names):
+        title, *new = out[i]
+        assert title == f"{t}." and len(new) == (1 if g is None else 2)
+        assert part.setdefault(("family", f), new[-1]) == new[-1] and new[-1] not in family
+        if g is not None:
+            assert part.setdefault((t, g), new[0]) == new[0]
+    families = [v for (k, _), v in part.items() if k == "family"]
+    givens = [v for (k, _), v in part.items() if k != "family"]
+    assert len(set(families)) == len(family) and len(set(givens)) == len(given["Mr"]) + len(given["Mrs"])
+
+
 def test_a_redirect_from_outside_the_pages(spark):
     pages = spark.createDataFrame([(1, "http://x.net/a", None), (2, "http://y.net/b", None)], "page_id long, url string, html string")
     redirects = spark.createDataFrame([("http://bad.com/de/1", "http://x.net/a"), ("http://good.org/1", "http://y.net/b"),

@@ -7,17 +7,22 @@ entities cannot meet; check digits are made anew. Names are drawn, by key, from
 names of the same gender and script.
 
 The same entity gets the same surrogate in every document (coreference; case
-and blanks do not matter, and a name's parts are replaced alike wherever they
-stand). A collision check over the distinct entities of the whole corpus finds
+and blanks do not matter). The parts of a name, given and family, are entities
+of their own with an attempt of their own, so a part is replaced alike wherever
+it stands, also after a collision of another part. A name of one part is a
+family name. A collision check over the distinct entities of the whole corpus finds
 surrogates that two entities share, or that are themselves an entity of the
 corpus; all but the smallest of those entities try again with the next
-attempt until none is left. Family names grow by a syllable every second
-attempt, so names cannot run out; the other kinds keep their format, so a
+attempt until none is left. Given names of both genders share one check, family
+names after any title another, so different names stay different as a whole. A
+given name's surrogate may be a given name of the corpus, as its family name
+is not one of it. Names grow by a syllable every second
+attempt, so they cannot run out; the other kinds keep their format, so a
 corpus that holds nearly all strings of one format is an error. Only entities past their first attempt are joined
 back to the documents that hold them.
 
 Defined cases: a null text stays null; texts without entities come back as
-they are; overlapping finds: the longer, then the earlier kind in KINDS;
+they are; very long texts are searched whole; overlapping finds: the longer, then the earlier kind in KINDS;
 repeated rows are treated alike; an empty table gives no rows; other columns
 are not touched.
 """
@@ -160,30 +165,38 @@ def script(name: str) -> str:
     return "cyrillic" if re.search("[А-Яа-яЁё]", name) else "latin"
 
 
-def _name(key: bytes, kind: str, name: str, attempt: int) -> str:
-    """Given name by gender and script, family name by script; each part of a
-    name is replaced alike wherever it stands."""
-    gender, parts = kind[-1], name.split(" ")
-    of = script(name)
-    out = []
-    for i, part in enumerate(parts):
-        if i == 0 and len(parts) == 2:
-            given = NAMES[(gender, of)]
-            out.append(given[_draw(key, "given", gender, part, attempt) % len(given)])
-        else:
-            n, word = _draw(key, "family", part, attempt), ""
-            # Longer with the attempts, so that there are names for any corpus.
-            for _ in range(3 + attempt // 2):
-                n, k = divmod(n, len(SYLLABLES[of]))
-                word += SYLLABLES[of][k]
-            out.append((word + ENDINGS[of][n % len(ENDINGS[of])]).capitalize())
-    return " ".join(out)
+# Kinds of a name's parts.
+GIVEN, FAMILY = ("given_m", "given_f"), "family"
+
+
+def parts_of(kind: str, text: str) -> list[tuple[str, str]]:
+    """(kind, normal form) of what a mention consists of."""
+    if not kind.startswith("name"):
+        return [(kind, normal(kind, text))]
+    *given, family = text.split(" ")
+    return [(f"given_{kind[-1]}", part) for part in given] + [(FAMILY, family)]
+
+
+def _name(key: bytes, kind: str, part: str, attempt: int) -> str:
+    """A given name by gender and script, or a family name by script; longer
+    with the attempts, so that there are names for any corpus."""
+    of = script(part)
+    n = _draw(key, kind, part, attempt)
+    word, ending, syllables = "", ENDINGS[of], 3
+    if kind in GIVEN:
+        given = NAMES[(kind[-1], of)]
+        n, k = divmod(n, len(given))
+        word, ending, syllables = given[k], ("",), 0
+    for _ in range(syllables + attempt // 2):
+        n, k = divmod(n, len(SYLLABLES[of]))
+        word += SYLLABLES[of][k]
+    return (word + ending[n % len(ending)]).capitalize()
 
 
 def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
     """The surrogate of a normal form."""
     tweak = f"{kind}/{attempt}/"
-    if kind.startswith("name"):
+    if kind in (*GIVEN, FAMILY):
         return _name(key, kind, entity, attempt)
     if kind == "email":
         local, _, domain = entity.rpartition("@")
@@ -264,8 +277,8 @@ def replace(text: str, key: bytes, attempts: dict[tuple[str, str], int]) -> tupl
         return text, []
     out, found, at, size = [], [], 0, 0
     for start, end, kind in spans:
-        entity = normal(kind, text[start:end])
-        new = shaped(kind, text[start:end], surrogate(key, kind, entity, attempts.get((kind, entity), 0)))
+        parts = [surrogate(key, k, e, attempts.get((k, e), 0)) for k, e in parts_of(kind, text[start:end])]
+        new = shaped(kind, text[start:end], " ".join(parts))
         out += [text[at:start], new]
         size += start - at
         found.append({"kind": kind, "start": size, "length": len(new)})
@@ -278,7 +291,7 @@ def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, kinds, entities = [], [], []
         for i, text in enumerate(batch.column("text")):
             text = text.as_py()
-            for kind, entity in sorted({(k, normal(k, text[a:b])) for a, b, k in find(text)} if text else ()):
+            for kind, entity in sorted({e for a, b, k in find(text) for e in parts_of(k, text[a:b])} if text else ()):
                 rows.append(i)
                 kinds.append(kind)
                 entities.append(entity)
@@ -301,14 +314,17 @@ def resolve(mentions: DataFrame, key: bytes, rounds: int = 50) -> DataFrame:
     none may need more than ``rounds`` attempts."""
     start = mentions.select("kind", "entity").distinct().withColumn("attempt", F.lit(0))
     now = written(start.withColumn("surrogate", _drawn(key)), "entities")
+    given = F.col("kind").isin(*GIVEN)
+    pool = F.when(given, F.lit("given")).otherwise(F.col("kind")).alias("pool")
     while True:
-        shared = now.groupBy("kind", "surrogate").agg(F.min("entity").alias("first"), F.count("*").alias("n")).where("n > 1")
-        lost = now.join(shared.select("kind", "surrogate", "first"), ["kind", "surrogate"]).where("entity <> first")
-        real = now.join(now.select("kind", F.col("entity").alias("surrogate")), ["kind", "surrogate"], "left_semi")
+        # One of those that share a surrogate keeps it.
+        shared = now.groupBy(pool, "surrogate").agg(F.min(F.struct("kind", "entity")).alias("first"), F.count("*").alias("n")).where("n > 1")
+        lost = now.withColumn("pool", pool).join(shared.drop("n"), ["pool", "surrogate"]).where(F.struct("kind", "entity") != F.col("first"))
+        real = now.where(~given).join(now.select("kind", F.col("entity").alias("surrogate")), ["kind", "surrogate"], "left_semi")
         again = written(lost.select("kind", "entity").unionByName(real.select("kind", "entity")).distinct(), "collisions")
         if again.isEmpty():
             return now
-        spent = now.where((F.col("attempt") >= rounds) & ~F.col("kind").startswith("name")).join(again, ["kind", "entity"], "left_semi")
+        spent = now.where((F.col("attempt") >= rounds) & ~F.col("kind").isin(*GIVEN, FAMILY)).join(again, ["kind", "entity"], "left_semi")
         if not spent.isEmpty():
             raise ValueError("the corpus holds nearly all strings of some format, so that no surrogates are left")
         kept = now.join(again, ["kind", "entity"], "left_anti")
