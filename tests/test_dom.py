@@ -1,6 +1,9 @@
+import random
+import time
+
 import pytest
 
-from tidings.operators.dom import Document, compile_css
+from tidings.operators.dom import Document, compile_css, passes
 
 
 def texts(doc, css):
@@ -69,3 +72,84 @@ def test_deep_and_broken_pages_end_quickly():
     assert len(Document("<div>" * 30_000).elements) == 30_000
     assert len(Document("<b><i>" * 10_000 + "</u>" * 30_000).elements) == 20_000
     assert texts(Document("<ul>" + "<li>x" * 20_000 + "</ul>y"), "li")[-1] == "x"
+
+
+def plain_select(doc, css, within=None):
+    """Every element against every ancestor, as the selector is written."""
+    def fits(el, steps):
+        kind, tag, tests = steps[-1]
+        if not passes(el, tag, tests):
+            return False
+        up = el.parent
+        while len(steps) > 1 and up is not None:
+            if fits(up, steps[:-1]):
+                return True
+            up = None if kind == ">" else up.parent
+        return len(steps) == 1
+
+    inside = doc.elements[within.pos + 1:within.end] if within else doc.elements
+    return [el.pos for el in inside if any(fits(el, g[::-1]) for g in compile_css(css))]
+
+
+def test_selection_equals_a_walk_over_all_ancestors():
+    rng = random.Random(7)
+    kinds = "div p b ul li td tr table section article".split()
+    for _ in range(400):
+        page = "".join(rng.choice([f"<{t}>", f"<{t} class='{rng.choice(('x', 'y', 'z x'))}'>", f"</{t}>", "<img>"])
+                       for t in rng.choices(kinds, k=rng.randint(1, 25)))
+        doc = Document(page)
+        for css in ("div p", "div > p", "div .x", "section > div, .x", "div div > p b", ".x > .y .z", "li > b, li li"):
+            for el in (*doc.elements[::-3], None):
+                again = Document(page)
+                assert [e.pos for e in again.select(css, el)] == plain_select(doc, css, el)
+                assert [e.pos for e in doc.select(css, el)] == plain_select(doc, css, el)
+
+
+@pytest.mark.parametrize("page, inner", [
+    ("a<!-->b", "a<!---->b"), ("a<!--x--!>b", "a<!--x-->b"), ("a<!--x>b", "a<!--x>b-->"), ("a<p b", "a"),
+    ("a<p b='c>d", "a"), ("a</p", "a"), ("a< b <", "a&lt; b &lt;"), ("a</>b</ c>d", "abd"),
+    ("a<script>b</scriptx><i>", "a<script>b</scriptx><i></script>"), ("<b c=d=e f/>g", '<b c="d=e" f="">g</b>'),
+    ("a<!doctype x>b<?y>c", "abc"), ("<I A=1 a=2>x</I >y", '<i a="1">x</i>y'), ("<title/>&lt;</title>", "<title>&lt;</title>"),
+])
+def test_broken_markup(page, inner):
+    assert "".join(Document(page).out) == inner
+
+
+HOSTILE = {
+    "nested": "<div><img src=a>", "comments": "<!--x", "nav": "<nav>", "open tags": "<a ", "open quotes": "<a b='",
+    "open ends": "</a", "declarations": "<!x", "raw": "<script>", "titles": "<title>", "brackets": "< ", "cdata": "<![CDATA[",
+}
+
+
+@pytest.mark.parametrize("piece", HOSTILE.values(), ids=HOSTILE.keys())
+def test_time_grows_with_the_length(piece):
+    def seconds(size):
+        page = piece * (size // len(piece))
+        start = time.process_time()
+        doc = Document(page)
+        doc.first("article img, .post-content img")
+        doc.first("div div > p img")
+        doc.text_without("script, nav, [class*='advertisement']")
+        return time.process_time() - start
+
+    small, large = seconds(500_000), seconds(2_000_000)
+    assert large < 8 * small + 1
+
+
+def test_formatting_closed_over_many_blocks_and_deep_boundaries():
+    n = 20_000
+    start = time.process_time()
+    Document("<b>" + "<div>" * n + "</b>" * n)
+    Document("<td><table>" + "<b>" * n + "<tr>" * n)
+    Document("<p><table>" + "<i>" * n + "<div></div>" * n)
+    assert time.process_time() - start < 10
+
+
+def test_cards_share_one_pass(monkeypatch):
+    """Fields of many cards are looked up without testing an element twice."""
+    from tidings.operators import dom
+    tested = []
+    monkeypatch.setattr(dom, "passes", lambda el, tag, tests: tested.append(el.pos) or passes(el, tag, tests))
+    doc = Document("<div class=card><a>1</a></div>" * 500)
+    assert [doc.text(doc.first("a", card)) for card in doc.select(".card")] == ["1"] * 500
+    assert len(tested) == 2 * 1000

@@ -1,5 +1,6 @@
 import html
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -142,7 +143,7 @@ def test_references_with_and_without_semicolon(apply):
 
 PIECES = ["<p>", "</p>", "<div class='ads'>", "<div class=\"x\">", "</div>", "<nav>", "</nav>", "<footer>",
           "</footer>", "<script>", "</script>", "var a='</p>'", "<!--", "-->", "<style>", "</style>", "a", " b ",
-          "&amp;", "&lt;", "&eacute;", "&", "& ", "<", "< ", ">", "<br/>", "<img alt='>'>", "<a href='?x&y=1'>",
+          "<!-->", "--!>", "&amp;", "&lt;", "&eacute;", "&", "& ", "<", "< ", ">", "<br/>", "<img alt='>'>", "<a href='?x&y=1'>",
           "</a>", "<b>", "</b>", "<title>", "</title>", "\r\n", " ", "<section class=\"big advertisement\">",
           "</section>", "<NAV id=1>", "&#39;", "&copy;"]
 
@@ -162,3 +163,22 @@ def test_flat_text_is_the_tree_text_wherever_it_is_used(spark):
 def test_clean_html_keeps_null(spark):
     rows = spark.createDataFrame([(None,)], "html string")
     assert extract.clean_html(rows, "html", "text").first()["text"] is None
+
+
+def test_clean_html_takes_time_with_the_length(spark):
+    """Pages of 2 MB full of openings that never close: both ways end soon."""
+    pieces = ["<!--x", "<nav>", "<footer ", "<script>", "<title>", "<a ", "</a", "<p class=", "<title ", "< ",
+              "<p title=x>t</p>", "<b class='" + "class=" * 50 + "'>"]
+    rows = spark.createDataFrame([(p * (2_000_000 // len(p)),) for p in pieces], "html string").repartition(4).cache()
+    rows.count()
+    body = tx.drop_raw(F.col("html"))
+    start = time.monotonic()
+    rows.select(F.length(tx.flat_text(body)), tx.is_flat(body)).write.format("noop").mode("overwrite").save()
+    assert time.monotonic() - start < 60
+    extract.clean_html(rows, "html", "text").write.format("noop").mode("overwrite").save()
+    assert time.monotonic() - start < 180
+    rows.unpersist()
+
+
+def test_open_hidden_elements_hide_the_rest(apply):
+    assert apply(tx.flat_text, ["a<nav>b<p>c", "a<nav b", "a<nav>b</nav>c<footer>d</footer >e"]) == ["a", "a", "ace"]

@@ -126,7 +126,6 @@ REFERENCES = (
 )
 # Those of them that also count without the semicolon.
 LOOSE_REFERENCES = ("&lt", "&gt", "&quot", "&nbsp", "&copy", "&middot", "&laquo", "&raquo", "&amp")
-TAG = r"<[a-zA-Z/!?][^>]*+>"
 
 
 def _element(tag: str) -> str:
@@ -134,19 +133,31 @@ def _element(tag: str) -> str:
     return rf"{tag}(?=[\s/>])[^>]*+>.*?</{tag}\s*+>"
 
 
+def drop_tags(c: Column) -> Column:
+    """Drop tags. From a tag that stays open on, which no later one can end, the text is
+    taken at once and kept, so that a page is passed over once whatever it holds."""
+    return F.regexp_replace(c, r"(<[a-zA-Z/!?][^>]*+\z)|<[a-zA-Z/!?][^>]*+>", "$1")
+
+
 def drop_raw(html: Column) -> Column:
     """Drop comments, scripts and styles, whichever opens first; none of them
-    opens inside a title, which is kept."""
+    opens inside a title, which is kept.
+
+    One of them that stays open is kept with all that follows: such a page is not
+    flat, and the search for an end that is missing is made once.
+    """
     html = F.replace(F.replace(html, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    parts = ["!--.*?-->", *map(_element, RAW_HIDDEN)]
-    return F.regexp_replace(html, f"(?is)<(?:{'|'.join(parts)})|({'<' + _element('title')})", "$1")
+    parts = ["!--(?:-?+>|.*?--!?+>)", *map(_element, RAW_HIDDEN)]
+    still_open = rf"<(?:!--|(?:{'|'.join(RAW_HIDDEN)}|title)(?=[\s/>])).*+"
+    return F.regexp_replace(
+        html, f"(?is)<(?:{'|'.join(parts)})|({'<' + _element('title')})|({still_open})", "$1$2")
 
 
 def flat_text(body: Column) -> Column:
-    """Text of flat markup (output of ``drop_raw``), white space untouched."""
-    hidden = "|".join(map(_element, HIDDEN))
-    text = F.regexp_replace(F.regexp_replace(body, f"(?is)<(?:{hidden})", ""), TAG, "")
-    return decode_references(text)
+    """Text of flat markup (output of ``drop_raw``), white space untouched. A hidden
+    element that stays open hides the rest."""
+    hidden = "|".join(rf"{tag}(?=[\s/>])[^>]*+(?:\z|>.*?(?:</{tag}\s*+>|\z))" for tag in HIDDEN)
+    return decode_references(drop_tags(F.regexp_replace(body, f"(?is)<(?:{hidden})", "")))
 
 
 def decode_references(text: Column) -> Column:
@@ -167,18 +178,19 @@ def is_flat(body: Column) -> Column:
     text or text of their own order, hidden elements that repeat or stay open,
     angle brackets inside tags, and character references outside the list.
     """
-    # All tests start at '<', so only tags cost anything.
+    # All tests start at '<', so only tags cost anything. A tag that holds '<' or stays
+    # open ends the search first, so the other tests look at one tag each.
     markup = "|".join([
+        r"[a-z/!?][^<>]*+(?:<|\z)",
         r"(?:noscript|textarea|xmp|iframe|noembed|noframes|template|plaintext|svg|math|select|table"
         r"|frameset|script|style)[\s/>]",
         r"title[^>]*>[^<]*+(?:<(?!/title)|\z)",
-        r"[a-z][^>]*class\s*=[^>]*(?:ads|advertisement)",
+        r"[a-z](?>[^>]*?class\s*+=)[^>]*(?:ads|advertisement)",
         r"[a-z][^<>]*=\s*(?:\"[^\"<>]*+[<>]|'[^'<>]*+[<>])",
-        r"[a-z/!?][^<>]*+(?:<|\z)",
         r"!--",
     ])
     known = "|".join(ref[1:] for ref, _ in REFERENCES)
-    unknown = F.rlike(F.regexp_replace(body, TAG, ""), F.lit(rf"&(?!{known})[#a-zA-Z]"))
+    unknown = F.rlike(drop_tags(body), F.lit(rf"&(?!{known})[#a-zA-Z]"))
     return ~F.rlike(body, F.lit(f"(?is)<(?:{markup})")) & _closed_once(body) & ~unknown
 
 

@@ -4,12 +4,18 @@ Only what the extraction rules use: tag, ``.class``, ``#id``, attribute tests,
 descendant and child steps, comma groups. Elements are kept in document order,
 so a subtree is a slice of the element list, and its text and its markup are
 slices of two piece lists.
+
+Time grows with the length of the page, whatever it holds. The scanner follows the
+HTML standard where something stays open (a comment or raw text runs to the end
+of the page, an open tag is dropped), so a search that finds no end is the last one.
+Open elements are found by tag, and a selector passes over the elements once, in
+document order, with the steps fulfilled so far handed down from the parent.
 """
 
 import html
 import re
-from collections import Counter
-from html.parser import HTMLParser
+from bisect import bisect_left
+from collections import defaultdict
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript iframe noembed noframes xmp".split())
@@ -29,6 +35,14 @@ P_BOUNDARY = frozenset("button caption html marquee object table td template th"
 BOUNDARY = frozenset("ul ol dl table select template article section body html".split())
 SPECIAL = BLOCKS | {"td", "th", "tr", "tbody", "body"}
 
+TAG_NAME = re.compile(r"[a-zA-Z][^\t\n\r\f />]*")
+COMMENT = re.compile(r"<!--(?:-?>|(.*?)--!?>)", re.S)
+# An attribute, or nothing before the end of the tag. Quotes may lack their end on the last one of a page.
+ATTRIBUTE = re.compile(
+    r"""[\t\n\r\f /]*(=?[^\t\n\r\f />=]*)"""
+    r"""(?:[\t\n\r\f ]*=[\t\n\r\f ]*(?:"([^"]*)"?|'([^']*)'?|([^\t\n\r\f >]*)))?""")
+RAW_END = {tag: re.compile(rf"</{tag}[\t\n\r\f ]*>", re.I) for tag in RAW | TITLE_LIKE}
+
 
 class Element:
     __slots__ = ("tag", "attrs", "classes", "parent", "pos", "end", "text_at", "text_end",
@@ -39,68 +53,103 @@ class Element:
         self.classes = frozenset((attrs.get("class") or "").split())
 
 
-class Document(HTMLParser):
-    CDATA_CONTENT_ELEMENTS = tuple(RAW)
-
+class Document:
     def __init__(self, source):
-        super().__init__(convert_charrefs=True)
         self.elements, self.texts, self.out, self.open = [], [], [], []
-        self.open_tags = Counter()
-        self.feed(source.replace("\r\n", "\n").replace("\r", "\n"))
-        self.close()
-        if self.cdata_elem and self.rawdata:  # raw text left open; some versions keep it back
-            self.handle_data(self.rawdata)
-        while self.open:
-            self._pop()
+        self.open_at = defaultdict(list)  # tag -> its places among the open elements
+        self.special_at = []              # places of the open elements of a special kind
+        self.searches = {}
+        self._scan(source.replace("\r\n", "\n").replace("\r", "\n"))
+        self._pop_down_to(0)
+
+    # -- scanning ---------------------------------------------------------
+
+    def _scan(self, source):
+        at, size = 0, len(source)
+        while at < size:
+            opens = source.find("<", at)
+            if opens < 0:
+                opens = size
+            if opens > at:
+                self._data(html.unescape(source[at:opens]))
+            at = self._markup(source, opens) if opens < size else size
+
+    def _markup(self, source, at):
+        """Read what begins with the '<' at ``at``; where it ends."""
+        name = TAG_NAME.match(source, at + 1)
+        if name:
+            return self._start_tag(source, name)
+        mark = source[at + 1:at + 2]
+        if mark not in ("/", "!", "?"):
+            self._data("<")
+            return at + 1
+        if source.startswith("<!--", at):
+            found = COMMENT.match(source, at)
+            self.out.append(f"<!--{(found.group(1) or '') if found else source[at + 4:]}-->")
+            return found.end() if found else len(source)
+        end = source.find(">", at + 2)
+        if end < 0:
+            return len(source)
+        name = TAG_NAME.match(source, at + 2, end) if mark == "/" else None
+        if name:
+            self._end_tag(name.group().lower())
+        elif mark == "!" and not source.startswith("[", at + 2) and source[at + 2:at + 9].lower() != "doctype":
+            self.out.append(f"<!--{source[at + 2:end]}-->")
+        return end + 1
+
+    def _start_tag(self, source, name):
+        attrs, at = {}, name.end()
+        while True:
+            found = ATTRIBUTE.match(source, at)
+            at = found.end()
+            if not found.group(1):
+                break
+            value = found.group(2) or found.group(3) or found.group(4) or ""
+            attrs.setdefault(found.group(1).lower(), html.unescape(value))
+        if not source.startswith(">", at):
+            return len(source)
+        tag = name.group().lower()
+        self._element(tag, attrs)
+        if tag not in RAW_END:
+            return at + 1
+        found = RAW_END[tag].search(source, at + 1)
+        text = source[at + 1:found.start() if found else len(source)]
+        if text:
+            self._data(text if tag in RAW else html.unescape(text))
+        self._end_tag(tag)
+        return found.end() if found else len(source)
 
     # -- building ---------------------------------------------------------
 
-    def handle_starttag(self, tag, attrs):
-        if tag in ("html", "body") and self.open_tags[tag]:
+    def _element(self, tag, attrs):
+        if tag in ("html", "body") and self.open_at[tag]:
             return
         self._make_room(tag)
-        values = {}
-        for name, value in attrs:
-            values.setdefault(name, value or "")
-        el = Element(tag, values, self.open[-1] if self.open else None, len(self.elements))
+        el = Element(tag, attrs, self.open[-1] if self.open else None, len(self.elements))
         self.elements.append(el)
-        shown = "".join(f' {n}="{html.escape(v)}"' for n, v in values.items())
+        shown = "".join(f' {n}="{html.escape(v)}"' for n, v in attrs.items())
         self.out.append(f"<{tag}{shown}>")
         el.text_at, el.out_at = len(self.texts), len(self.out)
+        self.open_at[tag].append(len(self.open))
+        if tag in SPECIAL:
+            self.special_at.append(len(self.open))
         self.open.append(el)
-        self.open_tags[tag] += 1
         if tag in VOID:
             self._pop()
-        elif tag in TITLE_LIKE:
-            self.set_cdata_mode(tag)
 
-    handle_startendtag = handle_starttag
+    def _end_tag(self, tag):
+        at = self._last(tag)
+        # A formatting element closed over an open block stays open.
+        if at >= 0 and not (tag in FORMATTING and self.special_at and self.special_at[-1] > at):
+            self._pop_down_to(at)
 
-    def handle_endtag(self, tag):
-        if not self.open_tags[tag]:
-            return
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i].tag == tag:
-                # A formatting element closed over an open block stays open.
-                if tag in FORMATTING and any(e.tag in SPECIAL for e in self.open[i + 1:]):
-                    return
-                while len(self.open) > i:
-                    self._pop()
-                return
-
-    def handle_data(self, data):
-        within = self.open[-1].tag if self.open else ""
-        if within in TITLE_LIKE and not getattr(self, "_escapable", False):
-            data = html.unescape(data)
+    def _data(self, data):
         self.texts.append(data)
-        if within in RAW:
+        if self.open and self.open[-1].tag in RAW:
             self.out.append(data)
         else:
             self.out.append(html.escape(data).replace("&quot;", "&#34;").replace("&#x27;", "&#39;"))
 
-    def handle_comment(self, data):
-        self.out.append(f"<!--{data}-->")
-
     def _make_room(self, tag):
         if tag in BLOCKS:
             self._close_open(("p",), P_BOUNDARY)
@@ -108,20 +157,28 @@ class Document(HTMLParser):
             self._close_open(CLOSES[tag], BOUNDARY)
 
     def _close_open(self, kinds, boundary):
-        if not any(self.open_tags[kind] for kind in kinds):
-            return
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i].tag in kinds:
-                while len(self.open) > i:
-                    self._pop()
-                if len(kinds) == 1:
-                    return
-            elif self.open[i].tag in boundary:
-                return
+        """Close the open elements of these kinds, up to the last boundary. Of a
+        single kind one is closed."""
+        found = max(map(self._last, kinds))
+        limit = max(map(self._last, boundary)) if found >= 0 else 0
+        while found > limit:
+            self._pop_down_to(found)
+            found = max(map(self._last, kinds)) if len(kinds) > 1 else -1
+
+    def _last(self, tag):
+        """Place of the innermost open element with that tag, or -1."""
+        at = self.open_at.get(tag)
+        return at[-1] if at else -1
+
+    def _pop_down_to(self, at):
+        while len(self.open) > at:
+            self._pop()
 
     def _pop(self):
         el = self.open.pop()
-        self.open_tags[el.tag] -= 1
+        self.open_at[el.tag].pop()
+        if el.tag in SPECIAL:
+            self.special_at.pop()
         el.end, el.text_end, el.out_end = len(self.elements), len(self.texts), len(self.out)
         if el.tag not in VOID:
             self.out.append(f"</{el.tag}>")
@@ -130,11 +187,10 @@ class Document(HTMLParser):
 
     def select(self, css, within=None):
         """Matches in document order, below ``within`` when given."""
-        groups = compile_css(css)
-        lo, hi = (within.pos + 1, within.end) if within else (0, len(self.elements))
-        for el in self.elements[lo:hi]:
-            if any(matches(el, steps) for steps in groups):
-                yield el
+        search = self.searches.get(css)
+        if search is None:
+            search = self.searches[css] = Search(self.elements, compile_css(css))
+        return search.between(*((within.pos + 1, within.end) if within else (0, len(self.elements))))
 
     def first(self, css, within=None):
         return next(self.select(css, within), None)
@@ -221,17 +277,45 @@ def passes(el, tag, tests):
     return True
 
 
-def matches(el, steps):
-    kind, tag, tests = steps[0]
-    if not passes(el, tag, tests):
-        return False
-    if len(steps) == 1:
-        return True
-    parent = el.parent
-    while parent is not None:
-        if matches(parent, steps[1:]):
-            return True
-        if kind == ">":
-            return False
-        parent = parent.parent
-    return False
+class Search:
+    """The matches of one selector in a document, found as far as they are asked for.
+
+    Every element is tested once, in document order. ``here`` has bit j set for an
+    element that fulfils step j with all steps before it above; ``above`` gathers
+    that over the element and all it lies in. A step looks at its parent only.
+    """
+
+    def __init__(self, elements, groups):
+        self.elements, self.found, self.done = elements, [], 0
+        # The steps of all groups from left to right; a group's first has no kind.
+        self.steps, self.last = [], 0
+        for group in groups:
+            self.steps += reversed(group)
+            self.last |= 1 << (len(self.steps) - 1)
+        self.here, self.above = [], []
+
+    def between(self, lo, hi):
+        while self.done < lo:
+            self._test()
+        at = bisect_left(self.found, lo)
+        while True:
+            while at == len(self.found) and self.done < hi:
+                self._test()
+            if at == len(self.found) or self.found[at] >= hi:
+                return
+            yield self.elements[self.found[at]]
+            at += 1
+
+    def _test(self):
+        el = self.elements[self.done]
+        inner, outer = (self.here[el.parent.pos], self.above[el.parent.pos]) if el.parent else (0, 0)
+        here = 0
+        for j, (kind, tag, tests) in enumerate(self.steps):
+            before = inner if kind == ">" else outer
+            if (not kind or before >> (j - 1) & 1) and passes(el, tag, tests):
+                here |= 1 << j
+        self.here.append(here)
+        self.above.append(outer | here)
+        if here & self.last:
+            self.found.append(self.done)
+        self.done += 1
