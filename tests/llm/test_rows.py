@@ -385,6 +385,47 @@ def test_surrogates_do_not_collide(spark):
     assert surrogates.luhn(card) == 0 and len(card) == 16
 
 
+def slots_of(text):
+    out, before = [], None
+    for chunk in text.split():
+        out += [quality.slot(w) for w in quality.words(chunk)] + ([quality.slot(quality.AGAIN)] if chunk == before else [])
+        before = chunk
+    return out
+
+
+def plain_vectors(texts):
+    """Every word with every neighbour, one by one."""
+    index, total = quality.index_vectors(), np.zeros((quality.SLOTS, quality.DIM))
+    for n in map(slots_of, texts):
+        for i, a in enumerate(n):
+            for b in n[max(0, i - quality.WINDOW):i]:
+                total[a] += index[b]
+                total[b] += index[a]
+    total -= total.sum(axis=0) / max(1.0, np.abs(total).sum()) * np.abs(total).sum(axis=1, keepdims=True)
+    return total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-6)
+
+
+def test_quality_words_of_all_texts(spark):
+    """Vectors over more tasks than are added at once, with and without labels, are those of plain sums."""
+    draw = random.Random(8)
+    texts = ["", "one", "a a a", LONG] + [" ".join(draw.choices("Big big small 12 !! no. yes x_y".split(), k=9)) for _ in range(300)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(quality.FAN + 9)
+    assert np.allclose(quality.word_vectors(rows), plain_vectors(texts), atol=1e-5)
+    assert not quality.word_vectors(rows.limit(0)).any()
+    seen = quality.fit(docs(spark, [(i, t, None, None, 0) for i, t in enumerate(texts)]), labels(spark, [(5, 1, 0), (6, 0, 0)]))
+    assert np.allclose(seen.vectors, plain_vectors(texts), atol=1e-5)
+
+
+def test_quality_long_texts_in_parts():
+    """A text cut where its words overflow gives the pairs of the whole text."""
+    index, row = quality.index_vectors(), slots_of(LONG[:4000])
+    whole, parts = np.zeros((quality.SLOTS, quality.DIM)), np.zeros((quality.SLOTS, quality.DIM))
+    quality._add_contexts(whole, index, row, 0)
+    quality._add_contexts(parts, index, row[:301], 0)
+    quality._add_contexts(parts, index, row[301 - quality.WINDOW:], quality.WINDOW)
+    assert whole.any() and (whole == parts).all()
+
+
 def test_quality(spark):
     draw = random.Random(6)
     good = [(i, " ".join(draw.choices("the of and house garden river town".split(), k=40)), "en", "s", 1) for i in range(60)]
@@ -396,6 +437,7 @@ def test_quality(spark):
     assert len(out) == 120 + len(ODD) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in out)
     unseen = [r for r in out if r.held_out and r.doc_id is not None and (20 < r.doc_id < 60 or r.doc_id >= 100)]
     assert len(unseen) > 10 and all(r.predicted == (r.doc_id < 100) for r in unseen)
+    assert quality.fit(docs(spark, []), labels(spark, marks)).scores(np.zeros((1, quality.DIM))).tolist() == [0.5]
     assert quality.fit(frame, labels(spark, [])).scores(np.zeros((1, quality.DIM))).tolist() == [0.5]
     assert quality.scores(docs(spark, []), model).count() == 0
 

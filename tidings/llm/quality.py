@@ -1,19 +1,22 @@
 """Document quality from random-indexing word vectors and a small network.
 
 Every word has a fixed random index vector (a few +1 and -1, by a hash). A
-word's vector is the sum of its neighbours' index vectors over the fitted
-texts, scaled to length one; words are hashed to ``SLOTS`` slots. A document is
+word's vector is the sum of its neighbours' index vectors over all texts given
+to ``fit``, with or without label, scaled to length one; words are hashed to ``SLOTS`` slots. A document is
 the mean of its words' vectors, and a two-layer network (numpy) turns that into
 a logit, whose temperature is fitted on labelled documents the network has not
 seen. Besides words, their shapes (capitals, digits, signs) and repetitions are
 words of their own.
 
-Vectors and network are fitted on at most about ``fit_rows`` labelled
-documents, drawn by a hash of the id; word vectors are summed on the executors
-and only matrices of fixed size and the drawn documents' means reach the
-driver.
+Only the network is fitted on a sample: at most about ``fit_rows`` labelled
+documents, drawn by a hash of the id. Word vectors are summed in every task and
+then over ``FAN`` tasks at a time, level by level; they are whole numbers below
+2**53, so their order does not matter. Only one matrix of fixed size and the
+drawn documents' means reach the driver.
 
 Defined cases: a null or blank text has a zero vector and still gets a score;
+a text of any length is read whole, in parts that share ``WINDOW`` words; repeated
+rows count as often as they stand there, and equal texts get equal scores;
 null labels and labels without a document are ignored; several labels of one
 document count as the largest; without any labels every score is 0.5; an empty
 table gives no rows; other columns are not touched.
@@ -30,6 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +48,10 @@ FIT_ROWS = 20_000
 HIDDEN = 32
 STEP = 1_000_000
 REMEMBER = 200_000
+PARTS = 16
+FAN = 64
+TOKENS = 500_000
+PAIRS = 100_000
 WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 AGAIN = "<again>"
 
@@ -171,14 +179,39 @@ def temperature(z: np.ndarray, y: np.ndarray) -> float:
     return float(grid[int(np.argmin(loss))])
 
 
+def _neighbours(n: np.ndarray, done: int) -> np.ndarray:
+    """Codes ``word * SLOTS + neighbour`` of all pairs up to ``WINDOW`` apart, in both
+    directions, whose later word stands at ``done`` or after; ``SLOTS`` is no word."""
+    codes = []
+    for d in range(1, WINDOW + 1):
+        first = max(d, done)
+        a, b = n[first:], n[first - d:len(n) - d]
+        words_only = (a < SLOTS) & (b < SLOTS)
+        a, b = a[words_only], b[words_only]
+        codes += [a * SLOTS + b, b * SLOTS + a]
+    return np.concatenate(codes).astype(np.uint32)
+
+
+def _add_contexts(total: np.ndarray, index: np.ndarray, row: list[int], done: int) -> None:
+    """Add the index vectors of all neighbours in ``row``; equal pairs are counted first."""
+    codes = np.sort(_neighbours(np.array(row, dtype=np.int64), done))
+    first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1]))) if len(codes) else np.zeros(0, dtype=np.int64)
+    times = np.diff(np.append(first, len(codes))).astype(np.float32)
+    pairs = codes[first].astype(np.int64)
+    for lo in range(0, len(pairs), PAIRS):
+        word, near = np.divmod(pairs[lo:lo + PAIRS], SLOTS)
+        starts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+        total[word[starts]] += np.add.reduceat(index[near] * times[lo:lo + PAIRS, None], starts, dtype=np.float64)
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    index, total = index_vectors(), np.zeros((SLOTS, DIM), dtype=np.float32)
+    index, total = index_vectors(), np.zeros((SLOTS, DIM))
     known: dict[str, list[int]] = {}
+    row, done = [], 0
     for batch in batches:
         for text in batch.column("text").to_pylist():
-            chunks = text.split()
-            row, before = [], None
-            for chunk in chunks:
+            before = None
+            for chunk in text.split():
                 if chunk not in known:
                     if len(known) > REMEMBER:
                         known = {}
@@ -187,19 +220,49 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if chunk == before:
                     row.append(slot(AGAIN))
                 before = chunk
-            n = np.array(row, dtype=np.int64)
-            for d in range(1, WINDOW + 1):
-                if len(n) > d:
-                    np.add.at(total, n[d:], index[n[:-d]])
-                    np.add.at(total, n[:-d], index[n[d:]])
-    # Sixteen rows of fixed size per task.
-    part = np.split(total, 16)
-    yield pa.RecordBatch.from_arrays([pa.array(range(16), pa.int32()), pa.array([p.tobytes() for p in part])], names=["part", "sums"])
+                if len(row) > TOKENS:
+                    _add_contexts(total, index, row, done)
+                    row, done = row[-WINDOW:], WINDOW
+            row += [SLOTS] * WINDOW  # no word of one text is a neighbour in the next
+    _add_contexts(total, index, row, done)
+    # Parts of fixed size at most; slots without a word stay out.
+    met = np.flatnonzero(total.any(axis=1))
+    part = met * PARTS // SLOTS
+    there = np.unique(part)
+    task = TaskContext.get().partitionId()
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(there, pa.int32()), pa.array([task] * len(there), pa.int32()),
+         pa.array([met[part == p].astype(np.int32).tobytes() for p in there], pa.binary()),
+         pa.array([total[met[part == p]].tobytes() for p in there], pa.binary())],
+        names=["part", "task", "slots", "sums"])
+
+
+SUMS = "part int, task int, slots binary, sums binary"
 
 
 def _add(frame: pd.DataFrame) -> pd.DataFrame:
-    total = np.sum([np.frombuffer(b, dtype=np.float32) for b in frame["sums"]], axis=0, dtype=np.float32)
-    return pd.DataFrame({"part": [frame["part"].iloc[0]], "sums": [total.tobytes()]})
+    size, first = SLOTS // PARTS, int(frame["part"].iloc[0]) * SLOTS // PARTS
+    total = np.zeros((size, DIM))
+    for slots, sums in zip(frame["slots"], frame["sums"]):
+        total[np.frombuffer(slots, dtype=np.int32) - first] += np.frombuffer(sums).reshape(-1, DIM)
+    met = np.flatnonzero(total.any(axis=1))
+    return pd.DataFrame({"part": frame["part"].iloc[:1], "task": frame["task"].iloc[:1],
+                         "slots": [(met + first).astype(np.int32).tobytes()], "sums": [total[met].tobytes()]})
+
+
+def word_vectors(texts: DataFrame) -> np.ndarray:
+    """The vectors of all slots from the column ``text`` of all rows."""
+    sums = written(texts.select("text").mapInArrow(_contexts, SUMS), "contexts")
+    tasks = sums.agg(F.max("task")).first()[0]
+    while tasks:
+        tasks //= FAN
+        sums = sums.withColumn("task", F.floor(F.col("task") / FAN).cast("int")).groupBy("part", "task").applyInPandas(_add, SUMS)
+    vectors = np.zeros((SLOTS, DIM))
+    for r in sums.collect():
+        vectors[np.frombuffer(r["slots"], dtype=np.int32)] = np.frombuffer(r["sums"]).reshape(-1, DIM)
+    # The common direction of all contexts says nothing; then length one.
+    vectors -= vectors.sum(axis=0) / max(1.0, np.abs(vectors).sum()) * np.abs(vectors).sum(axis=1, keepdims=True)
+    return (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-6)).astype(np.float32)
 
 
 def _means(vectors, text_col: str) -> Column:
@@ -215,22 +278,17 @@ def _means(vectors, text_col: str) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> Model:
-    """A model of ``labels.quality`` from the labelled documents in ``docs``."""
+    """A model of ``labels.quality`` from the labelled documents in ``docs``, and of the
+    words of all of them."""
     spark = docs.sparkSession
     named = labels.select(F.col("doc_id").alias("id"), "quality").where("id is not null and quality in (0, 1)")
     named = named.groupBy("id").agg(F.max("quality").alias("quality"))
     count = named.count()
     share = min(1.0, fit_rows / count) if count else 0.0
     drawn = lambda c: F.pmod(F.xxhash64(F.lit("quality"), c), F.lit(1_000_000)) < share * 1_000_000
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).where(drawn("id"))
-    # A bounded number of rows, hence of partitions and of partial sums.
-    sample = written(texts.join(named.where(drawn("id")), "id").repartition(12), "labelled")
-    sums = sample.select("text").mapInArrow(_contexts, "part int, sums binary").groupBy("part").applyInPandas(_add, "part int, sums binary")
-    got = {r[0]: np.frombuffer(r[1], dtype=np.float32).reshape(-1, DIM) for r in sums.collect()}
-    vectors = np.concatenate([got[i] for i in range(16)]) if got else np.zeros((SLOTS, DIM), dtype=np.float32)
-    # The common direction of all contexts says nothing; then length one.
-    vectors = vectors - vectors.sum(axis=0) / max(1.0, np.abs(vectors).sum()) * np.abs(vectors).sum(axis=1, keepdims=True)
-    vectors = (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-6)).astype(np.float32)
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
+    vectors = word_vectors(texts)
+    sample = written(texts.where(drawn("id")).join(named.where(drawn("id")), "id").repartition(12), "labelled")
     pooled = sample.withColumn("x", _means(spark.sparkContext.broadcast(vectors), "text")).select("id", "quality", "x").toPandas()
     pooled = pooled.sort_values("id")
     zero, one = np.zeros(DIM), np.ones(DIM)
