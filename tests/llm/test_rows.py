@@ -385,7 +385,7 @@ def test_surrogates_do_not_collide(spark):
     assert surrogates.luhn(card) == 0 and len(card) == 16
 
 
-def slots_of(text):
+def text_slots(text):
     out, before = [], None
     for chunk in text.split():
         out += [quality.slot(w) for w in quality.words(chunk)] + ([quality.slot(quality.AGAIN)] if chunk == before else [])
@@ -396,7 +396,7 @@ def slots_of(text):
 def plain_vectors(texts):
     """Every word with every neighbour, one by one."""
     index, total = quality.index_vectors(), np.zeros((quality.SLOTS, quality.DIM))
-    for n in map(slots_of, texts):
+    for n in map(text_slots, texts):
         for i, a in enumerate(n):
             for b in n[max(0, i - quality.WINDOW):i]:
                 total[a] += index[b]
@@ -416,14 +416,23 @@ def test_quality_words_of_all_texts(spark):
     assert np.allclose(seen.vectors, plain_vectors(texts), atol=1e-5)
 
 
-def test_quality_long_texts_in_parts():
-    """A text cut where its words overflow gives the pairs of the whole text."""
-    index, row = quality.index_vectors(), slots_of(LONG[:4000])
-    whole, parts = np.zeros((quality.SLOTS, quality.DIM)), np.zeros((quality.SLOTS, quality.DIM))
-    quality._add_contexts(whole, index, row, 0)
-    quality._add_contexts(parts, index, row[:301], 0)
-    quality._add_contexts(parts, index, row[301 - quality.WINDOW:], quality.WINDOW)
-    assert whole.any() and (whole == parts).all()
+def test_quality_slots_of_a_chunk():
+    for chunk in ("Big", "BIG", "B", "x1", "a_b", "…", "²", "Ⅷ", "ǅ", "9", "été!!", "ß.", "日本", "ʰ", "_", "1st-Rate"):
+        assert quality.slots_of(chunk) == [quality.slot(w) for w in quality.words(chunk)]
+        assert quality.words(chunk)[::2] == quality.WORD.findall(chunk)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 10**6])
+def test_quality_long_texts_in_parts(monkeypatch, size):
+    """Texts cut anywhere give the sums of whole texts."""
+    import pyarrow as pa
+    texts = ["", "one", "a a a a b b", "", "No! no no 12 12 x_y", LONG[:2000]]
+    made = {}
+    monkeypatch.setattr(quality.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 3})())
+    for chunks in (size, 10**7):
+        monkeypatch.setattr(quality, "CHUNKS", chunks)
+        made[chunks] = list(quality._contexts([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])]))
+    assert made[size] == made[10**7] and made[size][0].num_rows > 0
 
 
 def test_quality(spark):

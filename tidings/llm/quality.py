@@ -50,7 +50,7 @@ STEP = 1_000_000
 REMEMBER = 200_000
 PARTS = 16
 FAN = 64
-TOKENS = 500_000
+CHUNKS = 500_000
 PAIRS = 100_000
 WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 AGAIN = "<again>"
@@ -58,18 +58,34 @@ AGAIN = "<again>"
 
 def words(chunk: str) -> list[str]:
     """The words of a chunk between white space, and their shapes."""
-    out = []
-    for w in WORD.findall(chunk):
-        out.append(w)
-        out.append("<upper>" if len(w) > 1 and w.isupper() else "<title>" if w[0].isupper() else
-                   "<lower>" if w[0].isalpha() else "<number>" if w[0].isdigit() else "<sign>")
-    return out
+    found = (chunk,) if chunk.isalpha() else WORD.findall(chunk)
+    return list(chain.from_iterable((w, shape(w)) for w in found))
+
+
+def shape(word: str) -> str:
+    if word.isupper() and len(word) > 1:
+        return "<upper>"
+    first = word[0]
+    if first.isalpha():
+        return "<title>" if first.isupper() else "<lower>"
+    return "<title>" if first.isupper() else "<number>" if first.isdigit() else "<sign>"
 
 
 def slot(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word) % SLOTS
 
 
+SHAPES = {s: slot(s) for s in ("<upper>", "<title>", "<lower>", "<number>", "<sign>")}
+
+
+def slots_of(chunk: str) -> list[int]:
+    """The slots of ``words(chunk)``."""
+    out = []
+    for w in (chunk,) if chunk.isalpha() else WORD.findall(chunk):
+        out += (xxhash.xxh3_64_intdigest(w) % SLOTS, SHAPES[shape(w)])
+    return out
+
+
 def index_vectors() -> np.ndarray:
     draw = np.random.default_rng(7)
     out = np.zeros((SLOTS, DIM), dtype=np.float32)
@@ -93,7 +109,7 @@ class Pooler:
         self.counts = np.zeros(0, dtype=np.int64)
 
     def learn(self, chunks: list[str]) -> None:
-        split = [[slot(w) for w in words(c)] for c in chunks]
+        split = list(map(slots_of, chunks))
         size = np.array([len(s) for s in split])
         flat = np.fromiter(chain.from_iterable(split), dtype=np.int64)
         sums = np.zeros((len(chunks), self.vectors.shape[1]), dtype=np.float32)
@@ -179,52 +195,75 @@ def temperature(z: np.ndarray, y: np.ndarray) -> float:
     return float(grid[int(np.argmin(loss))])
 
 
-def _neighbours(n: np.ndarray, done: int) -> np.ndarray:
-    """Codes ``word * SLOTS + neighbour`` of all pairs up to ``WINDOW`` apart, in both
-    directions, whose later word stands at ``done`` or after; ``SLOTS`` is no word."""
+def _add_contexts(total: np.ndarray, index: np.ndarray, n: np.ndarray, done: int) -> None:
+    """Add the index vectors of all words up to ``WINDOW`` apart, where the later one
+    stands at ``done`` or after; ``SLOTS`` is no word. Equal pairs are counted first."""
     codes = []
     for d in range(1, WINDOW + 1):
         first = max(d, done)
         a, b = n[first:], n[first - d:len(n) - d]
-        words_only = (a < SLOTS) & (b < SLOTS)
-        a, b = a[words_only], b[words_only]
-        codes += [a * SLOTS + b, b * SLOTS + a]
-    return np.concatenate(codes).astype(np.uint32)
+        codes.append((np.minimum(a, b) * SLOTS + np.maximum(a, b))[(a < SLOTS) & (b < SLOTS)])
+    codes = np.sort(np.concatenate(codes).astype(np.uint32))
+    if not len(codes):
+        return
+    first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+    times = np.diff(np.append(first, len(codes))).astype(np.float32)
+    low, high = np.divmod(codes[first].astype(np.int64), SLOTS)
+    by_high = np.argsort(high, kind="stable")
+    for word, near, times in ((low, high, times), (high[by_high], low[by_high], times[by_high])):
+        for lo in range(0, len(word), PAIRS):
+            some = word[lo:lo + PAIRS]
+            starts = np.flatnonzero(np.concatenate(([True], some[1:] != some[:-1])))
+            total[some[starts]] += np.add.reduceat(index[near[lo:lo + PAIRS]] * times[lo:lo + PAIRS, None], starts)
 
 
-def _add_contexts(total: np.ndarray, index: np.ndarray, row: list[int], done: int) -> None:
-    """Add the index vectors of all neighbours in ``row``; equal pairs are counted first."""
-    codes = np.sort(_neighbours(np.array(row, dtype=np.int64), done))
-    first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1]))) if len(codes) else np.zeros(0, dtype=np.int64)
-    times = np.diff(np.append(first, len(codes))).astype(np.float32)
-    pairs = codes[first].astype(np.int64)
-    for lo in range(0, len(pairs), PAIRS):
-        word, near = np.divmod(pairs[lo:lo + PAIRS], SLOTS)
-        starts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-        total[word[starts]] += np.add.reduceat(index[near] * times[lo:lo + PAIRS, None], starts, dtype=np.float64)
+class Chunks:
+    """Slots of texts, the chunks between white space looked up once."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.slots, self.start = np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
+
+    def row(self, chunks: list[str], before: str) -> np.ndarray:
+        """The slots of consecutive chunks that follow ``before``; '' ends a text."""
+        if len(self.number) > REMEMBER:
+            self.__init__()
+        n = np.array(list(map(self.number.get, chunks, repeat(-1))), dtype=np.int64)
+        fresh = np.flatnonzero(n < 0).tolist()
+        if fresh:
+            new = list(dict.fromkeys(chunks[i] for i in fresh))
+            split = [slots_of(c) if c else [SLOTS] * WINDOW for c in new]
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+            self.slots = np.concatenate((self.slots, np.fromiter(chain.from_iterable(split), dtype=np.int64)))
+            self.start = np.concatenate((self.start, self.start[-1] + np.cumsum([len(x) for x in split], dtype=np.int64)))
+            n[fresh] = [self.number[chunks[i]] for i in fresh]
+        size = self.start[n + 1] - self.start[n]
+        # A chunk that follows itself has one more word.
+        again = np.concatenate(([chunks[0] == before], n[1:] == n[:-1])) & (size > 0) & (self.slots[self.start[n]] < SLOTS)
+        end = np.cumsum(size + again)
+        out = np.full(end[-1], slot(AGAIN), dtype=np.int64)
+        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        out[np.repeat(end - size - again, size) + place] = self.slots[np.repeat(self.start[n], size) + place]
+        return out
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    index, total = index_vectors(), np.zeros((SLOTS, DIM))
-    known: dict[str, list[int]] = {}
-    row, done = [], 0
+    index, total, known = index_vectors(), np.zeros((SLOTS, DIM)), Chunks()
+    held, done, before = [], np.zeros(0, dtype=np.int64), ""
+
+    def add(chunks: list[str]) -> tuple[np.ndarray, str]:
+        row = np.concatenate((done, known.row(chunks, before)))
+        _add_contexts(total, index, row, len(done))
+        return row[-WINDOW:], chunks[-1]
+
     for batch in batches:
         for text in batch.column("text").to_pylist():
-            before = None
-            for chunk in text.split():
-                if chunk not in known:
-                    if len(known) > REMEMBER:
-                        known = {}
-                    known[chunk] = [slot(w) for w in words(chunk)]
-                row += known[chunk]
-                if chunk == before:
-                    row.append(slot(AGAIN))
-                before = chunk
-                if len(row) > TOKENS:
-                    _add_contexts(total, index, row, done)
-                    row, done = row[-WINDOW:], WINDOW
-            row += [SLOTS] * WINDOW  # no word of one text is a neighbour in the next
-    _add_contexts(total, index, row, done)
+            held += text.split()
+            held.append("")  # no chunk: no word of one text is a neighbour in the next
+            while len(held) > CHUNKS:
+                (done, before), held = add(held[:CHUNKS]), held[CHUNKS:]
+    if held:
+        add(held)
     # Parts of fixed size at most; slots without a word stay out.
     met = np.flatnonzero(total.any(axis=1))
     part = met * PARTS // SLOTS
