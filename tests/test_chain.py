@@ -36,6 +36,30 @@ def test_loop_ends_at_limit(spark, links, limit):
     assert [n for _, n, _, _ in got] == list(range(1, limit + 1))
 
 
+def test_a_loop_is_reported_and_not_unrolled(spark, links, monkeypatch):
+    made = []
+    plain = chain.written
+    monkeypatch.setattr(chain, "written", lambda df, name: made.append(name) or plain(df, name))
+    rows = [("a", "/1", "/2"), ("a", "/2", "/3"), ("a", "/3", "/4"), ("a", "/4", "/5"), ("a", "/5", "/3"), ("b", "/1", "/2"),
+            ("b", "/2", "/1"), ("c", "/1", "/gone"), ("d", "/1", "/1"), ("e", "/1", "/2"), ("e", "/2", "")]
+    links = spark.createDataFrame(rows, "lang string, url string, next_link string")
+    languages = spark.createDataFrame([(g, i, "/1", 10**9) for i, g in enumerate("abcde")], schema.LANGUAGES)
+    got = sorted((r.lang, r.page_num, r.url, r.fetched, r.loops) for r in chain.page_chain(links, languages, True).collect())
+    assert got == [
+        ("a", 1, "/1", True, False), ("a", 2, "/2", True, False), ("a", 3, "/3", True, False), ("a", 4, "/4", True, False),
+        ("a", 5, "/5", True, True), ("b", 1, "/1", True, False), ("b", 2, "/2", True, True), ("c", 1, "/1", True, False),
+        ("c", 2, "/gone", False, False), ("d", 1, "/1", True, True), ("e", 1, "/1", True, False), ("e", 2, "/2", True, False)]
+    assert len(made) < 10
+
+
+@pytest.mark.parametrize("limit", [1, 2, 3, 14])
+def test_pages_of_a_loop_stop_at_the_limit_too(spark, limit):
+    links = spark.range(1, 6).selectExpr("'a' as lang", "cast(id as string) as url", "cast(id % 5 + 1 as string) as next_link")
+    languages = spark.createDataFrame([("a", 1, "1", limit)], schema.LANGUAGES)
+    got = sorted((r.page_num, r.loops) for r in chain.page_chain(links, languages, True).collect())
+    assert got == [(n, n == 5) for n in range(1, min(limit, 5) + 1)]
+
+
 def test_null_link_ends_chain(spark):
     links = spark.createDataFrame([("a", "/1", "/2"), ("a", "/2", None)], "lang string, url string, next_link string")
     assert walk(spark, links, [("a", "/1", 9)]) == [("a", 1, "/1", True), ("a", 2, "/2", True)]

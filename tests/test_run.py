@@ -82,6 +82,15 @@ def test_a_run_and_the_same_run_again(spark, rules, languages, dim, tmp_path):
         "/a": "unchanged", "/b": "kept", "/k": "kept", "/k2": "unchanged"}
 
 
+def test_a_run_ends_where_pages_link_back(spark, rules, dim, tmp_path):
+    languages = spark.createDataFrame([("ru", 1, f"{BASE}/1", 10**9)], schema.LANGUAGES)
+    pages = [(f"{BASE}/1", "ru", page(card("/a", "А", "сегодня"), next_url=f"{BASE}/2")),
+             (f"{BASE}/2", "ru", page(card("/b", "Б", "вчера"), next_url=f"{BASE}/1#top"))]
+    out = run(spark, fetched(spark, pages), rules, languages, dim, sinks.NewsTable(spark, str(tmp_path / "n")).read())
+    assert [tuple(r) for r in out.stats.collect()] == [("ru", 2, 2, 0, 0, "loop")]
+    assert sorted(r.url for r in out.merged.collect()) == ["/a", "/b"]
+
+
 def test_unknown_language_is_reported_not_stored(spark, rules, languages, tmp_path):
     only_ru = spark.createDataFrame([(1, "ru")], schema.LANG_DIM)
     news = sinks.NewsTable(spark, str(tmp_path / "n")).read()

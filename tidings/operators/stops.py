@@ -1,8 +1,9 @@
 """Where a crawl stops: streaks of old pages, stop page, run statistics.
 
 Input is one row per page: ``lang, page_num, cards, old, has_next`` and, where
-known, ``fetched`` (false for a page that is linked but missing). Page numbers
-of a language are 1, 2, 3, ... without gaps.
+known, ``fetched`` (false for a page that is linked but missing) and ``loops`` (true
+for a page that links back to a visited one). Page numbers of a language are
+1, 2, 3, ... without gaps.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from tidings.operators import ordered
 
 # Reasons, in the order in which they are tested on a page.
 NO_CARDS, OLD_STREAK, NO_NEXT = "no_cards", "old_streak", "no_next"
-MAX_PAGES, FETCH_ERROR = "max_pages", "fetch_error"
+LOOP, MAX_PAGES, FETCH_ERROR = "loop", "max_pages", "fetch_error"
 
 
 def count_pages(cards: DataFrame, mark: Column) -> DataFrame:
@@ -47,7 +48,8 @@ def with_reason(pages: DataFrame, stop_after: int) -> DataFrame:
         F.when(~fetched(pages), FETCH_ERROR)
         .when(F.col("cards") == 0, NO_CARDS)
         .when(F.col("streak") >= stop_after, OLD_STREAK)
-        .when(~F.col("has_next"), NO_NEXT)))
+        .when(~F.col("has_next"), NO_NEXT)
+        .when(F.col("loops") if "loops" in pages.columns else F.lit(False), LOOP)))
 
 
 def fetched(pages: DataFrame) -> Column:

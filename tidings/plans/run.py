@@ -54,7 +54,7 @@ def run_news(pages: DataFrame, rules: DataFrame, languages: DataFrame, lang_dim:
     marks = sized(lookup.high_water_marks(news if summary is None else summary, languages, lang_dim, today, days_back))
 
     listing = extract_run(pages, rules) if listing is None else written(listing, "listing")
-    visits = written(chain.page_chain(listing, languages), "visits")
+    visits = written(chain.page_chain(listing, languages, stop_at_loops=True), "visits")
     judged = cd.judge(listing.drop("next_link").join(visits, ["lang", "url"]), F.col("lang"), today,
                       strict_dates)
     counted = cd.page_counts(judged.join(marks, "lang"), F.col("mark"))
@@ -63,9 +63,9 @@ def run_news(pages: DataFrame, rules: DataFrame, languages: DataFrame, lang_dim:
     counted = written(counted, "counted")
 
     none = F.lit(0)
-    page_rows = counted.select("lang", "page_num", "url", "next_link", "fetched", "cards", "old")
+    page_rows = counted.select("lang", "page_num", "url", "next_link", "fetched", "loops", "cards", "old")
     missing = visits.where(~F.col("fetched")).select(
-        "lang", "page_num", "url", "next_link", "fetched", none.alias("cards"), none.alias("old"))
+        "lang", "page_num", "url", "next_link", "fetched", "loops", none.alias("cards"), none.alias("old"))
     page_rows = page_rows.unionByName(missing).withColumn("has_next", F.col("next_link") != "")
     page_rows = cut(stops.with_reason(stops.with_streak(page_rows), stop_after))
     stop_at = sized(stops.stop_pages(page_rows))
