@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from tidings import schema
 from tidings.operators import chain
 
@@ -81,6 +82,26 @@ def test_rounds_grow_with_logarithm(spark, monkeypatch):
     assert rounds(600) - rounds(38) == 8
 
 
+def test_chains_over_pages_with_repeated_urls_end(spark, tmp_path, monkeypatch):
+    """A URL of two pages has the link of the newest; with both, walks would go back and multiply."""
+    made = []
+    plain = chain.written
+
+    def written(df, name):
+        made.append(name)
+        assert len(made) < 12
+        return plain(df, name)
+
+    monkeypatch.setattr(chain, "written", written)
+    urls = [f"https://a.example/{'de' if n else 'fr'}/{5 if n == 2 else n}" for n in range(8)]
+    rows = [(n, url) for n, url in enumerate(urls)] + [(9, None)]
+    spark.createDataFrame(rows, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted((r.lang, r.page_num, r.url[-1], r.fetched) for r in queries.page_chain(spark, str(tmp_path)).where("lang is not null").collect())
+    assert got == [
+        ("de", 1, "1", True), ("de", 2, "5", True), ("de", 3, "6", True), ("de", 4, "7", True),
+        ("fr", 1, "0", True), ("fr", 2, "1", True), ("fr", 3, "5", True), ("fr", 4, "6", True), ("fr", 5, "7", True), ("fr", 6, "/", False)]
+
+
 def test_latest_fetch(spark):
     rows = spark.sql("""select * from values ('a', timestamp'2024-01-01 00:00:00', 'old', 1),
         ('a', timestamp'2024-01-02 00:00:00', 'new', 1), ('a', timestamp'2024-01-02 00:00:00', 'newer', 2),
