@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.site import card, page
+from tidings import session
 from tidings.operators import cards as cd
 from tidings.operators import extract
 from tidings.sources import rules as rl
@@ -110,3 +111,19 @@ def test_functions_travel_without_the_package(make):
     code = "import sys, pickle; sys.path = [p for p in sys.path if p]; pickle.load(sys.stdin.buffer)"
     done = subprocess.run([sys.executable, "-c", code], input=data, cwd="/", capture_output=True)
     assert done.returncode == 0, done.stderr.decode()
+
+
+def test_batches_of_pages_are_bounded_by_bytes(spark):
+    """Pages of 100 KB went to Python in batches of 64 MB."""
+    import pyarrow as pa
+
+    spark.conf.unset(session.BATCH_BYTES)
+    rows = spark.range(0, 200, 1, 1).select(F.lit("ru").alias("lang"), F.repeat(F.lit("x"), 100_000).alias("html"))
+    size = extract.once("long")(lambda pages: pa.array([len(pages) * 100_000] * len(pages), pa.int64()))
+    extract.extract_listing(rows, rl.rules_frame(spark, {"ru": rl.SITE_RULES}))
+    assert rows.select(size("html").alias("n")).agg(F.max("n")).first()[0] <= 2 * session.PAGE_BATCH
+    for given, kept in (("1m", "1m"), ("64MB", str(session.PAGE_BATCH)), ("1000", "1000")):
+        spark.conf.set(session.BATCH_BYTES, given)
+        extract.extract_detail(rows)
+        assert spark.conf.get(session.BATCH_BYTES) == kept
+    spark.conf.unset(session.BATCH_BYTES)
