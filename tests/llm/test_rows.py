@@ -489,3 +489,29 @@ def test_pipeline_stages(spark, tmp_path):
             assert now.count() == now.select("text").distinct().count() == before.select("text").distinct().count()
     assert now.count() >= before.count()
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == now.count()
+
+
+def test_quality_sums_by_size_and_by_entries():
+    """Short rows are added in steps of equal size, bit for bit as one by one; index vectors by their few entries."""
+    draw = np.random.default_rng(5)
+    vectors = draw.normal(size=(50, quality.DIM)).astype(np.float32)
+    size = np.array([0, 2, 1, 13, 8, 2, 3, 9, 0, 5, 4, 6, 7, 30])
+    flat, at = draw.integers(0, 50, size=size.sum()), np.cumsum(size) - size
+    want = np.zeros((len(size), quality.DIM), dtype=np.float32)
+    want[size > 0] = np.add.reduceat(vectors[flat], at[size > 0])
+    assert np.array_equal(quality.sums_of(vectors, flat, size), want)
+    assert not quality.sums_of(vectors, flat[:0], np.zeros(3, dtype=np.int64)).any()
+    index = quality.index_vectors()
+    place, value = quality.entries(index)
+    assert place.shape[1] <= quality.NONZERO
+    again = np.zeros_like(index)
+    np.put_along_axis(again, place, value.astype(np.float32), axis=1)
+    assert np.array_equal(again, index)
+
+
+def test_quality_pooler_adds_chunks_little_by_little():
+    vectors = np.random.default_rng(6).normal(size=(quality.SLOTS, quality.DIM)).astype(np.float32)
+    texts = [f"a{i} b{i % 7}, c{i // 3}" for i in range(50)]
+    one, many = quality.Pooler(vectors), quality.Pooler(vectors)
+    assert np.array_equal(one.means(texts), np.concatenate([many.means([t]) for t in texts]))
+    assert many.sums.shape[1] < 2 * len(many.number) + 50

@@ -51,7 +51,7 @@ REMEMBER = 200_000
 PARTS = 16
 FAN = 64
 CHUNKS = 500_000
-PAIRS = 100_000
+PAIRS = 1_000_000
 WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 AGAIN = "<again>"
 
@@ -95,8 +95,33 @@ def index_vectors() -> np.ndarray:
     return out
 
 
+def entries(index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and values of every index vector's entries other than zero, as many columns
+    as the fullest one has."""
+    there = index != 0
+    place = np.argsort(~there, axis=1, kind="stable")[:, :max(1, there.sum(axis=1).max())]
+    return place, np.take_along_axis(index, place, axis=1).astype(np.float64)
+
+
+def sums_of(vectors: np.ndarray, flat: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Per row the sum of ``size`` vectors, named one after the other in ``flat``. Rows of
+    equal size are added at once: most are of two vectors, a word's and its shape's."""
+    out = np.zeros((len(size), vectors.shape[1]), dtype=np.float32)
+    start = np.cumsum(size) - size
+    for k in range(1, 9):
+        at = start[rows] if len(rows := np.flatnonzero(size == k)) else []
+        if len(at):
+            rest = sum((vectors[flat[at + j]] for j in range(2, k)), vectors[flat[at + 1]]) if k > 1 else 0
+            out[rows] = vectors[flat[at]] + rest
+    if len(rows := np.flatnonzero(size > 8)):
+        ends = np.repeat(size > 8, size)
+        out[rows] = np.add.reduceat(vectors[flat[ends]], np.cumsum(size[rows]) - size[rows])
+    return out
+
+
 class Pooler:
-    """Sums of word vectors of documents; chunks are looked up once."""
+    """Sums of word vectors of documents; chunks are looked up once. A column of
+    ``sums`` belongs to a chunk: gathered and added along rows, numbers stay side by side."""
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
@@ -105,21 +130,20 @@ class Pooler:
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.sums = np.zeros((0, self.vectors.shape[1]), dtype=np.float32)
+        self.sums = np.zeros((self.vectors.shape[1], 0), dtype=np.float32)
         self.counts = np.zeros(0, dtype=np.int64)
 
     def learn(self, chunks: list[str]) -> None:
         split = list(map(slots_of, chunks))
         size = np.array([len(s) for s in split])
         flat = np.fromiter(chain.from_iterable(split), dtype=np.int64)
-        sums = np.zeros((len(chunks), self.vectors.shape[1]), dtype=np.float32)
-        some = size > 0
-        if some.any():
-            start = np.concatenate(([0], np.cumsum(size[some])[:-1]))
-            sums[some] = np.add.reduceat(self.vectors[flat], start)
-        self.sums = np.concatenate((self.sums, sums))
+        have, need = len(self.number), len(self.number) + len(chunks)
+        if need > self.sums.shape[1]:
+            more = np.empty((len(self.sums), max(have, len(chunks))), dtype=np.float32)
+            self.sums = np.concatenate((self.sums[:, :have], more), axis=1)
+        self.sums[:, have:need] = sums_of(self.vectors, flat, size).T
         self.counts = np.concatenate((self.counts, size))
-        self.number.update(zip(chunks, range(len(self.number), len(self.number) + len(chunks))))
+        self.number.update(zip(chunks, range(have, need)))
 
     def means(self, texts: list[str]) -> np.ndarray:
         """The mean vector of every text, zero without words."""
@@ -127,7 +151,7 @@ class Pooler:
             self.forget()
         split = [t.split() for t in texts]
         flat = list(chain.from_iterable(split))
-        n = np.array(list(map(self.number.get, flat, repeat(-1))), dtype=np.int64)
+        n = np.fromiter(map(self.number.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
         fresh = np.flatnonzero(n < 0).tolist()
         if fresh:
             self.learn(list(dict.fromkeys(flat[i] for i in fresh)))
@@ -141,8 +165,7 @@ class Pooler:
         again = np.zeros(len(n), dtype=np.int64)
         again[1:] = (n[1:] == n[:-1]) & (owner[1:] == owner[:-1])
         start = np.concatenate(([0], np.cumsum(size[some])[:-1]))
-        # In parts, so that the gathered vectors stay small.
-        total = np.add.reduceat(self.sums[n], start)
+        total = np.add.reduceat(self.sums.take(n, axis=1), start, axis=1).T
         repeated = np.add.reduceat(again, start)
         count = np.add.reduceat(self.counts[n], start) + repeated
         out[some] = (total + repeated[:, None] * self.again) / np.maximum(count, 1)[:, None]
@@ -197,7 +220,8 @@ def temperature(z: np.ndarray, y: np.ndarray) -> float:
 
 def _add_contexts(total: np.ndarray, index: np.ndarray, n: np.ndarray, done: int) -> None:
     """Add the index vectors of all words up to ``WINDOW`` apart, where the later one
-    stands at ``done`` or after; ``SLOTS`` is no word. Equal pairs are counted first."""
+    stands at ``done`` or after; ``SLOTS`` is no word. Equal pairs are counted first, and
+    only the few entries of a vector that are not zero are added."""
     codes = []
     for d in range(1, WINDOW + 1):
         first = max(d, done)
@@ -207,14 +231,14 @@ def _add_contexts(total: np.ndarray, index: np.ndarray, n: np.ndarray, done: int
     if not len(codes):
         return
     first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
-    times = np.diff(np.append(first, len(codes))).astype(np.float32)
+    times = np.diff(np.append(first, len(codes))).astype(np.float64)
     low, high = np.divmod(codes[first].astype(np.int64), SLOTS)
-    by_high = np.argsort(high, kind="stable")
-    for word, near, times in ((low, high, times), (high[by_high], low[by_high], times[by_high])):
+    place, value = entries(index)
+    for word, near in ((low, high), (high, low)):
         for lo in range(0, len(word), PAIRS):
-            some = word[lo:lo + PAIRS]
-            starts = np.flatnonzero(np.concatenate(([True], some[1:] != some[:-1])))
-            total[some[starts]] += np.add.reduceat(index[near[lo:lo + PAIRS]] * times[lo:lo + PAIRS, None], starts)
+            row, other, often = word[lo:lo + PAIRS] * DIM, near[lo:lo + PAIRS], times[lo:lo + PAIRS]
+            for j in range(place.shape[1]):
+                total += np.bincount(row + place[other, j], value[other, j] * often, SLOTS * DIM).reshape(SLOTS, DIM)
 
 
 class Chunks:
@@ -228,7 +252,7 @@ class Chunks:
         """The slots of consecutive chunks that follow ``before``; '' ends a text."""
         if len(self.number) > REMEMBER:
             self.__init__()
-        n = np.array(list(map(self.number.get, chunks, repeat(-1))), dtype=np.int64)
+        n = np.fromiter(map(self.number.get, chunks, repeat(-1)), dtype=np.int64, count=len(chunks))
         fresh = np.flatnonzero(n < 0).tolist()
         if fresh:
             new = list(dict.fromkeys(chunks[i] for i in fresh))
