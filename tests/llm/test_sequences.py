@@ -4,6 +4,7 @@ empty and long texts, ties, repeated rows, empty tables and clashing names."""
 import hashlib
 import itertools
 import random
+import time
 import re
 import zlib
 from collections import Counter
@@ -224,6 +225,22 @@ def test_passages_equal_brute_force(spark, shard, long, block):
     assert Counter(tuple(r) for r in decontamination.decisions(found).collect()) == brute_hits(rows, ITEMS)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from("aZ09 \t\n\x00\x1c\x7f\x85\xa0\u2028\u3000"))))
+def test_passage_words_are_those_of_the_pattern(text):
+    assert decontamination.words_of(text) == decontamination.WORDS.findall(text.translate(decontamination.LOWER))
+
+
+def test_passage_words_of_any_script_cost_alike():
+    def cost(text):
+        began = time.process_time()
+        decontamination.words_of(text)
+        return time.process_time() - began
+
+    plain, other = "The Quick brown " * 50_000, "Thé Quick bröwn " * 50_000
+    assert min(cost(other) for _ in range(5)) < 3 * min(cost(plain) for _ in range(5))
+
+
 def test_passages_are_cut_from_texts(spark):
     rows = [(1, "Before. The QUICK brown fox jumps over the lazy dog and runs! After."), (2, "clean text"), (3, None), (3, None),
             (None, "say: short, one; twice short one.")]

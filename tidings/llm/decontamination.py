@@ -52,10 +52,20 @@ BLOCK = 50_000
 WALK = 1 << 18
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+# The same by bytes: a space for what is in no word. UTF-8 has no byte of ASCII in other characters.
+FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
 def words_of(text: str) -> list[str]:
-    return WORDS.findall(text.translate(LOWER))
+    return list(filter(None, text.encode().translate(FOLD).decode().split(" ")))
+
+
+class Numbers(dict):
+    """Numbers of words from 1 on, given as they are met."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self) + 1
+        return number
 
 
 def suffix_order(codes: np.ndarray) -> np.ndarray:
@@ -157,13 +167,13 @@ class Wavelet:
 def index(documents: list[list[str]]) -> dict:
     """The index of a shard: blobs of its vocabulary, transform and samples.
     Symbol 0 parts the documents; words are numbered from 1 as they are met."""
-    number: dict[str, int] = {}
+    number = Numbers()
     size = np.array([len(d) for d in documents], dtype=np.int64)
     begin = np.concatenate(([0], np.cumsum(size + 1)[:-1]))
     n = int(size.sum()) + len(size)
     symbols = np.zeros(n, dtype=np.int64)
     for d, at in zip(documents, begin.tolist()):
-        symbols[at:at + len(d)] = [number.setdefault(w, len(number) + 1) for w in d]
+        symbols[at:at + len(d)] = np.fromiter(map(number.__getitem__, d), np.int64, len(d))
     # In the order every separator is a code of its own, below all words.
     parts = begin + size
     codes = symbols + len(size) - 1
