@@ -4,6 +4,7 @@ names, for every operator and stage; results against brute force."""
 import hashlib
 import random
 import zlib
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -405,6 +406,35 @@ def plain_vectors(texts):
     return total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-6)
 
 
+def test_language_counts_in_bounded_steps(monkeypatch):
+    """N-grams of few characters at a time, and the same sums however many are held."""
+    import pyarrow as pa
+    draw, read, grams = random.Random(3), [], language_id.grams
+    texts = ["".join(draw.choices("abcd ", k=40_000)) for _ in range(20)] + ["", "12"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([i % 3 for i in range(22)], pa.int32())], names=["text", "l"])
+    monkeypatch.setattr(language_id, "grams", lambda part: read.append(sum(map(len, part))) or grams(part))
+    want = Counter()
+    for i, text in enumerate(texts):
+        want.update((i % 3, g) for g in grams([text])[0].view(np.int64).tolist())
+    for held in (10, 500_000):
+        monkeypatch.setattr(language_id, "HELD", held, raising=False)
+        found = Counter()
+        for b in language_id._count([batch]):
+            for r in b.to_pylist():
+                found[r["l"], r["g"]] += r["n"]
+        assert found == want
+    assert max(read) <= 250_000
+
+
+def test_documents_go_to_workers_in_small_batches(spark):
+    from tidings import session
+    from tidings.llm import periodic_runs
+    for made in (lambda: near_dedup.signatures(docs(spark), 3), lambda: periodic_runs.tiled(docs(spark)), lambda: language_id.fit(docs(spark, []))):
+        spark.conf.set(session.BATCH_BYTES, "64m")
+        made()
+        assert spark.conf.get(session.BATCH_BYTES) == str(session.PAGE_BATCH)
+
+
 def test_quality_words_of_all_texts(spark):
     """Vectors over more tasks than are added at once, with and without labels, are those of plain sums."""
     draw = random.Random(8)

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidings.llm.common import U64, mix, slices
+from tidings.session import page_batches
 
 GRAMS = (3, 4)
 PROBES = 3
@@ -42,7 +43,10 @@ MIN_COUNT = 5
 ROWS_PER_COUNT = 2
 SHARE = 0.3
 FIT_ROWS = 30_000
-STEP = 1_000_000
+# Characters read at once: an n-gram takes some 150 bytes while it is hashed.
+STEP = 250_000
+# Counted n-grams that a task holds.
+HELD = 500_000
 UND = "und"
 
 _letters: np.ndarray | None = None
@@ -133,15 +137,29 @@ class Model:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    size = 0
+
+    def added() -> Iterator[pa.RecordBatch]:
+        for i, parts in held.items():
+            name, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            n = np.bincount(place, weights=np.concatenate([p[1] for p in parts]), minlength=len(name))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(name), i, dtype=np.int32)),
+                                              pa.array(name.view(np.int64)), pa.array(n.astype(np.int64))],
+                                             names=["l", "g", "n"])
+
     for batch in batches:
         texts, lang = batch.column("text").to_pylist(), np.array(batch.column("l").to_pylist())
-        for lo, hi in slices([len(t) for t in texts], 4 * STEP):
+        for lo, hi in slices([len(t) for t in texts], STEP):
             h, owner = grams(texts[lo:hi])
-            for i in np.unique(lang[lo:hi]):
-                name, n = np.unique(h[lang[lo:hi][owner] == i], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(name), i, dtype=np.int32)),
-                                                  pa.array(name.view(np.int64)), pa.array(n.astype(np.int64))],
-                                                 names=["l", "g", "n"])
+            for i in np.unique(lang[lo:hi]).tolist():
+                part = np.unique(h[lang[lo:hi][owner] == i], return_counts=True)
+                held.setdefault(i, []).append(part)
+                size += len(part[0])
+            if size > HELD:
+                yield from added()
+                held, size = {}, 0
+    yield from added()
 
 
 def quota(sizes: Iterable[int], fit_rows: int) -> float:
@@ -164,6 +182,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     per_lang = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
     languages = sorted(per_lang)
     words = max(1, -(-len(languages) // 63))
+    page_batches(labelled.sparkSession)
     table = np.zeros((slots, words), dtype=np.int64)
     if not languages:
         return Model([], table, np.zeros(0))
@@ -201,6 +220,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 def predictor(model: Model, spark, text_col: str = "text") -> Column:
     """Struct (lang, score) of the text."""
     shared = spark.sparkContext.broadcast(model)
+    page_batches(spark)
 
     @F.pandas_udf("lang string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

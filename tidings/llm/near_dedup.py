@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from tidings.llm.common import U64, digest_of, id_of, keep_rows, key_of, mix, slices, text_of
 from tidings.llm.components import components
-from tidings.session import written
+from tidings.session import page_batches, written
 
 BANDS, ROWS = 24, 4
 # Bytes of text that one numpy step works on.
@@ -155,6 +155,7 @@ def _sets(width: int):
 def signatures(docs: DataFrame, width: int, bands: int = BANDS, rows: int = ROWS,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, digest, n, class, bands) of every row, written once."""
+    page_batches(docs.sparkSession)
     source = docs.select(key_of(id_col).alias("key"), digest_of(text_col).alias("digest"), text_of(text_col).alias("text"))
     return written(source.mapInArrow(_sign(width, bands, rows),
                                      "key long, digest binary, n long, class binary, bands array<long>"), "signatures")

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.llm.common import U64, mix, slices, text_of
-from tidings.session import written
+from tidings.session import page_batches, written
 
 LEAST, TIMES = 6, 4
 # Words that one tile owns, in a low octave; in a high one eight blocks.
@@ -224,6 +224,7 @@ def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def tiled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE) -> DataFrame:
     """(key, doc_id, n, whole, words, tiles) of every document, written once;
     ``whole`` is the digest of all words, and ``words`` is null without tiles."""
+    page_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     return written(rows.mapInArrow(_tiled(tile), TILES), "tiles")
 
