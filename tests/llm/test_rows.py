@@ -452,6 +452,12 @@ def test_quality_slots_of_a_chunk():
         assert quality.words(chunk)[::2] == quality.WORD.findall(chunk)
 
 
+def test_quality_slots_of_many_chunks():
+    chunks = ["Big", "BIG", "B", "x1", "a_b", "…", "²", "Ⅷ", "ǅ", "9", "été!!", "ß.", "日本", "ʰ", "_", "1st-Rate", "small"]
+    flat, size = quality.slots_in(chunks)
+    assert flat.tolist() == [s for c in chunks for s in quality.slots_of(c)] and size.tolist() == [len(quality.slots_of(c)) for c in chunks]
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 7, 10**6])
 def test_quality_long_texts_in_parts(monkeypatch, size):
     """Texts cut anywhere give the sums of whole texts."""

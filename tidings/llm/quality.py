@@ -27,7 +27,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, repeat
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -46,7 +46,7 @@ NONZERO = 6
 WINDOW = 2
 FIT_ROWS = 20_000
 HIDDEN = 32
-STEP = 1_000_000
+STEP = 250_000
 REMEMBER = 200_000
 PARTS = 16
 FAN = 64
@@ -86,6 +86,26 @@ def slots_of(chunk: str) -> list[int]:
     return out
 
 
+def slots_in(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``slots_of`` every chunk, one after the other, and how many each has."""
+    found = [(c,) if c.isalpha() else WORD.findall(c) for c in chunks]
+    size = np.fromiter(map(len, found), np.int64, len(found))
+    flat, lower = list(chain.from_iterable(found)), SHAPES["<lower>"]
+    out = np.empty((len(flat), 2), dtype=np.int64)
+    out[:, 0] = np.fromiter(map(xxhash.xxh3_64_intdigest, flat), np.uint64, len(flat)) % SLOTS
+    # Most words are lower-case letters.
+    out[:, 1] = [lower if w.islower() and w.isalpha() else SHAPES[shape(w)] for w in flat]
+    return out.reshape(-1), 2 * size
+
+
+class Numbers(dict):
+    """Numbers of chunks from 0 on, given as they are met."""
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = number = len(self)
+        return number
+
+
 def index_vectors() -> np.ndarray:
     draw = np.random.default_rng(7)
     out = np.zeros((SLOTS, DIM), dtype=np.float32)
@@ -129,21 +149,19 @@ class Pooler:
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = Numbers()
         self.sums = np.zeros((self.vectors.shape[1], 0), dtype=np.float32)
         self.counts = np.zeros(0, dtype=np.int64)
 
     def learn(self, chunks: list[str]) -> None:
-        split = list(map(slots_of, chunks))
-        size = np.array([len(s) for s in split])
-        flat = np.fromiter(chain.from_iterable(split), dtype=np.int64)
-        have, need = len(self.number), len(self.number) + len(chunks)
+        """Sums of chunks, the next that have a number."""
+        flat, size = slots_in(chunks)
+        have, need = len(self.counts), len(self.counts) + len(chunks)
         if need > self.sums.shape[1]:
             more = np.empty((len(self.sums), max(have, len(chunks))), dtype=np.float32)
             self.sums = np.concatenate((self.sums[:, :have], more), axis=1)
         self.sums[:, have:need] = sums_of(self.vectors, flat, size).T
         self.counts = np.concatenate((self.counts, size))
-        self.number.update(zip(chunks, range(have, need)))
 
     def means(self, texts: list[str]) -> np.ndarray:
         """The mean vector of every text, zero without words."""
@@ -151,11 +169,9 @@ class Pooler:
             self.forget()
         split = [t.split() for t in texts]
         flat = list(chain.from_iterable(split))
-        n = np.fromiter(map(self.number.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
-        fresh = np.flatnonzero(n < 0).tolist()
-        if fresh:
-            self.learn(list(dict.fromkeys(flat[i] for i in fresh)))
-            n[fresh] = [self.number[flat[i]] for i in fresh]
+        n = np.fromiter(map(self.number.__getitem__, flat), dtype=np.int64, count=len(flat))
+        if len(self.number) > len(self.counts):
+            self.learn(list(islice(self.number, len(self.counts), None)))
         size = np.array([len(s) for s in split])
         out = np.zeros((len(texts), self.vectors.shape[1]), dtype=np.float32)
         some = size > 0
@@ -245,29 +261,28 @@ class Chunks:
     """Slots of texts, the chunks between white space looked up once."""
 
     def __init__(self):
-        self.number: dict[str, int] = {}
-        self.slots, self.start = np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        self.number = Numbers({"": 0})
+        self.slots, self.start = np.full(WINDOW, SLOTS, dtype=np.int64), np.array([0, WINDOW], dtype=np.int64)
 
     def row(self, chunks: list[str], before: str) -> np.ndarray:
         """The slots of consecutive chunks that follow ``before``; '' ends a text."""
         if len(self.number) > REMEMBER:
             self.__init__()
-        n = np.fromiter(map(self.number.get, chunks, repeat(-1)), dtype=np.int64, count=len(chunks))
-        fresh = np.flatnonzero(n < 0).tolist()
-        if fresh:
-            new = list(dict.fromkeys(chunks[i] for i in fresh))
-            split = [slots_of(c) if c else [SLOTS] * WINDOW for c in new]
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-            self.slots = np.concatenate((self.slots, np.fromiter(chain.from_iterable(split), dtype=np.int64)))
-            self.start = np.concatenate((self.start, self.start[-1] + np.cumsum([len(x) for x in split], dtype=np.int64)))
-            n[fresh] = [self.number[chunks[i]] for i in fresh]
+        n = np.fromiter(map(self.number.__getitem__, chunks), dtype=np.int64, count=len(chunks))
+        known = len(self.start) - 1
+        if len(self.number) > known:
+            flat, more = slots_in(list(islice(self.number, known, None)))
+            self.slots = np.concatenate((self.slots, flat))
+            self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(more)))
         size = self.start[n + 1] - self.start[n]
         # A chunk that follows itself has one more word.
         again = np.concatenate(([chunks[0] == before], n[1:] == n[:-1])) & (size > 0) & (self.slots[self.start[n]] < SLOTS)
         end = np.cumsum(size + again)
-        out = np.full(end[-1], slot(AGAIN), dtype=np.int64)
-        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        out[np.repeat(end - size - again, size) + place] = self.slots[np.repeat(self.start[n], size) + place]
+        out, own = np.full(end[-1], slot(AGAIN), dtype=np.int64), np.ones(end[-1], dtype=bool)
+        own[end[again] - 1] = False
+        place = np.repeat(self.start[n] - (np.cumsum(size) - size), size)
+        place += np.arange(len(place))
+        out[own] = self.slots[place]
         return out
 
 
